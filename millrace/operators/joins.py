@@ -223,3 +223,26 @@ def enrich_batches(
                 yield pdf.assign(**{out: pdf[key].map(found)})
 
     return df.mapInPandas(run, f"{schema}, `{out}` {out_type}")
+
+
+def not_in(df: DataFrame, key: Column, other: DataFrame, other_key: str) -> DataFrame:
+    """``key NOT IN (SELECT other_key ..)`` with SQL's NULL rules, as a shuffle join.
+
+    Nothing qualifies if ``other`` holds a NULL, and a NULL key qualifies only
+    if ``other`` is empty.  Those two facts are one aggregated row; the rest is
+    a plain anti join, where Spark's own null-aware form would have to ship
+    ``other`` whole to every task.
+    """
+    facts = other.agg(
+        F.count(F.lit(1)).alias("__rows"), F.count_if(F.col(other_key).isNull()).alias("__nulls")
+    )
+    listed = other.select(F.col(other_key).alias("__listed")).distinct()
+    return (
+        df.withColumn("__key", key)
+        .join(listed, F.col("__key") == F.col("__listed"), "left_anti")
+        .crossJoin(F.broadcast(facts))
+        .where(
+            (F.col("__rows") == 0) | ((F.col("__nulls") == 0) & F.col("__key").isNotNull())
+        )
+        .drop("__key", "__rows", "__nulls")
+    )

@@ -24,7 +24,7 @@ def limit_bytes(spark: SparkSession, key: str) -> int:
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the size of ``df``."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def fits_one_task(df: DataFrame) -> bool:

@@ -43,7 +43,14 @@ def delete_where(df: DataFrame, predicate: Column, target: str) -> tuple[DataFra
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions ``df`` has rows for."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    conf = df.sparkSession.conf
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(key, before)
 
 
 def load_into_partition(

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from millrace.sizing import ONE_TASK_BYTES, estimated_bytes, fits_one_task, limit_bytes
 
 _CHUNK = "__chunk"
-_MIN_CHUNKS, _MAX_CHUNKS = 8, 4096
+_MIN_CHUNKS, _MAX_CHUNKS = 8, 16384
 
 
 @dataclass(frozen=True)
@@ -83,16 +83,28 @@ def _sort_key(df: DataFrame, order: Sequence[By]) -> Column | None:
     return F.struct(*parts)
 
 
-def _count_at_or_below(bounds: Column, value: Column) -> Column:
-    return F.size(F.filter(bounds, lambda b: b <= value))
+def _constant_array(values: Sequence, element_type: str) -> Column:
+    """A literal array as one constant, however many elements it has."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{element_type}>")
+
+
+def _position(bounds: Sequence, axis: Column, axis_type: str) -> Column:
+    """How many of the sorted bounds are at or below the axis value (binary search)."""
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    table = _constant_array(bounds, axis_type)
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda at, step: at + F.when(F.get(table, at + step - 1) <= axis, step).otherwise(0),
+    )
 
 
 def _chunk_column(df: DataFrame, leading: By) -> Column | None:
     """Equi-depth chunk number of the leading order column, ascending in it.
 
     The bounds are approximate percentiles from one aggregate job over that one
-    column (a fixed, small number of values reaches the driver).  The lookup is
-    two-level, so a row is compared with about two square roots of the bounds.
+    column: a fixed, small number of values reaches the driver.  NULLs, which
+    sort lowest, share the lowest chunk.
     """
     axis = _as_number(df, leading.name)
     if axis is None:
@@ -100,22 +112,11 @@ def _chunk_column(df: DataFrame, leading: By) -> Column | None:
     per_task = max(1, limit_bytes(df.sparkSession, ONE_TASK_BYTES))
     wanted = math.ceil(estimated_bytes(df) / per_task)
     n = min(max(wanted, _MIN_CHUNKS), _MAX_CHUNKS)
-    cuts = [i / n for i in range(1, n)]
-    row = df.agg(
-        F.percentile_approx(axis, cuts, max(1000, 10 * n)).alias("bounds")
-    ).first()
+    cuts = _constant_array([i / n for i in range(1, n)], "double")
+    axis_type = df.select(axis).schema[0].dataType.simpleString()
+    row = df.agg(F.percentile_approx(axis, cuts, max(1000, 4 * n)).alias("bounds")).first()
     bounds = sorted(set(row["bounds"] or []))
-    if not bounds:
-        return F.lit(0)
-    width = max(1, math.isqrt(len(bounds)))
-    groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-    coarse = F.array(*[F.lit(g[0]) for g in groups])
-    fine = F.array(*[F.array(*[F.lit(b) for b in g]) for g in groups])
-    group = _count_at_or_below(coarse, axis)
-    inside = F.when(group > 0, _count_at_or_below(F.get(fine, group - 1), axis))
-    return F.coalesce(
-        F.when(group > 0, (group - 1) * width + inside), F.lit(0)
-    )
+    return F.coalesce(_position(bounds, axis, axis_type), F.lit(0)) if bounds else F.lit(0)
 
 
 def _plain(kind: str, value: Column | None, keys: Sequence[str], order: Sequence[By]) -> Column:
@@ -266,7 +267,7 @@ def sessions(df: DataFrame, keys, ts: str, tie: str, gap_seconds: Column) -> Dat
     own time plus its own gap; a session lasts until the latest such end.
     """
     stamp = F.unix_micros(F.col(ts).cast("timestamp"))
-    closes = stamp + (gap_seconds * 1_000_000).cast("bigint")
+    closes = stamp + gap_seconds.cast("bigint") * 1_000_000
     reach = running(
         df.withColumn("__closes", closes),
         keys,

@@ -20,6 +20,18 @@ def from_pandas(spark: SparkSession, pdf: pd.DataFrame, schema: str) -> DataFram
     return spark.createDataFrame(pdf, schema)
 
 
+def to_pandas(df: DataFrame, max_rows: int = 100_000) -> pd.DataFrame:
+    """A small result as a pandas frame; more rows than the bound is an error.
+
+    The rows are fetched as Arrow batches to the driver, which is why the bound
+    is checked with one row too many instead of trusting the caller.
+    """
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) > max_rows:
+        raise ValueError(f"more than {max_rows} rows for the driver")
+    return pdf
+
+
 def number_sequence(spark: SparkSession, start: int, end: int, splits: int | None = None) -> DataFrame:
     """Longs from ``start`` to ``end``, both included, in contiguous even splits."""
     return spark.range(start, end + 1, 1, splits)

@@ -83,7 +83,7 @@ def main() -> int:
     folder = f"/root/testdata/sf{args.sf}"
     spark = local_session(8)
     if args.split:
-        spark.conf.set(ONE_TASK_BYTES, "1")
+        spark.conf.set(ONE_TASK_BYTES, "8192")
     con = connect(folder)
     bad = 0
     for name, q in REGISTRY.items():

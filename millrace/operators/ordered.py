@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.scratch import cut_lineage
 from millrace.sizing import ONE_TASK_BYTES, estimated_bytes, fits_one_task, limit_bytes
 
 _CHUNK = "__chunk"
@@ -42,7 +43,8 @@ class By:
 class Running:
     """One output column: a running ``kind`` of ``value`` up to the current row.
 
-    Kinds: ``sum count min max last`` (last non-null), ``lag`` (previous row's
+    Kinds: ``sum count min max last`` (last non-null), ``max_before`` and
+    ``last_before`` (the same without the current row), ``lag`` (previous row's
     value), ``row_number``, ``rank`` and ``dense_rank``.
     """
 
@@ -132,6 +134,11 @@ def _plain(kind: str, value: Column | None, keys: Sequence[str], order: Sequence
         return F.lag(value).over(w)
     if kind == "last":
         return F.last(value, ignorenulls=True).over(upto)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    if kind == "last_before":
+        return F.last(value, ignorenulls=True).over(before)
+    if kind == "max_before":
+        return F.max(value).over(before)
     return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[kind](value).over(upto)
 
 
@@ -142,8 +149,10 @@ def _total(spec: Running, sort_key: Column, order: Sequence[By]) -> Column:
         return F.count_distinct(*[F.col(b.name) for b in order])
     if spec.kind == "lag":
         return F.max_by(spec.value, sort_key)
-    if spec.kind == "last":
+    if spec.kind in ("last", "last_before"):
         return F.max_by(spec.value, F.when(spec.value.isNotNull(), sort_key))
+    if spec.kind == "max_before":
+        return F.max(spec.value)
     return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[spec.kind](spec.value)
 
 
@@ -152,10 +161,10 @@ def _carried(spec: Running, total: Column, keys: Sequence[str], chunk_order: Col
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     if spec.kind == "lag":
         return F.lag(total).over(w)
-    if spec.kind == "last":
+    if spec.kind in ("last", "last_before"):
         return F.last(total, ignorenulls=True).over(earlier)
-    if spec.kind in ("min", "max"):
-        return {"min": F.min, "max": F.max}[spec.kind](total).over(earlier)
+    if spec.kind in ("min", "max", "max_before"):
+        return (F.min if spec.kind == "min" else F.max)(total).over(earlier)
     summed = F.sum(total).over(earlier)
     return summed if spec.kind == "sum" else F.coalesce(summed, F.lit(0))
 
@@ -163,17 +172,43 @@ def _carried(spec: Running, total: Column, keys: Sequence[str], chunk_order: Col
 def _combined(spec: Running, local: Column, carry: Column, first_in_chunk: Column) -> Column:
     if spec.kind == "lag":
         return F.when(first_in_chunk == 1, carry).otherwise(local)
-    if spec.kind == "last":
+    if spec.kind in ("last", "last_before"):
         return F.coalesce(local, carry)
     if spec.kind == "min":
         return F.least(local, carry)
-    if spec.kind == "max":
+    if spec.kind in ("max", "max_before"):
         return F.greatest(local, carry)
     if spec.kind == "sum":
         return F.coalesce(local + carry, local, carry)
     return local + F.coalesce(carry, F.lit(0))
 
 
+def with_chunks(df: DataFrame, order: Sequence[By | str]) -> DataFrame:
+    """Add the chunk number of the order axis, unless the input fits one task.
+
+    An operator of several ordered steps calls this once and every ``running``
+    after it works on the same chunks.
+    """
+    order = _orders(order)
+    if _CHUNK in df.columns or fits_one_task(df) or _sort_key(df, order) is None:
+        return df
+    chunk = _chunk_column(df, order[0])
+    return df if chunk is None else df.withColumn(_CHUNK, chunk)
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a chunked intermediate to the checkpoint folder.
+
+    Each ordered step reads its input twice (chunk totals and rows), so a chain
+    of steps would otherwise recompute the first one exponentially often.
+    """
+    return cut_lineage(df) if _CHUNK in df.columns else df
+
+
+def without_chunks(df: DataFrame) -> DataFrame:
+    return df.drop(_CHUNK)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -188,14 +223,10 @@ def running(
     value stay in one chunk, which is what makes ranks of ties come out right.
     """
     order = _orders(order)
-    plain = df.withColumns({s.out: _plain(s.kind, s.value, keys, order) for s in specs})
-    if fits_one_task(df):
-        return plain
+    rows = with_chunks(df, order)
+    if _CHUNK not in rows.columns:
+        return df.withColumns({s.out: _plain(s.kind, s.value, keys, order) for s in specs})
     sort_key = _sort_key(df, order)
-    chunk = None if sort_key is None else _chunk_column(df, order[0])
-    if chunk is None:
-        return plain
-    rows = df.withColumn(_CHUNK, chunk)
     chunk_order = F.col(_CHUNK).asc() if order[0].ascending else F.col(_CHUNK).desc()
 
     totals = rows.groupBy(*keys, _CHUNK).agg(
@@ -268,23 +299,17 @@ def sessions(df: DataFrame, keys, ts: str, tie: str, gap_seconds: Column) -> Dat
     """
     stamp = F.unix_micros(F.col(ts).cast("timestamp"))
     closes = stamp + gap_seconds.cast("bigint") * 1_000_000
+    order = [ts, tie]
     reach = running(
-        df.withColumn("__closes", closes),
+        with_chunks(df, order).withColumn("__closes", closes),
         keys,
-        [ts, tie],
-        [Running("__reach", "max", F.col("__closes"))],
-    )
-    previous = running(
-        reach, keys, [ts, tie], [Running("__before", "lag", F.col("__reach"))]
-    )
-    opened = previous.withColumn(
-        "__start",
-        F.when(F.col("__before").isNull() | (stamp > F.col("__before")), F.col(ts)),
-    )
-    marked = running(
-        opened, keys, [ts, tie], [Running("session_start", "last", F.col("__start"))]
+        order,
+        [Running("__before", "max_before", F.col("__closes"))],
     )
-    return marked.drop("__reach", "__before", "__start", "__closes")
+    opens = F.col("__before").isNull() | (stamp > F.col("__before"))
+    opened = settle(reach.withColumn("__start", F.when(opens, F.col(ts))))
+    marked = running(opened, keys, order, [Running("session_start", "last", F.col("__start"))])
+    return without_chunks(marked).drop("__before", "__start", "__closes")
 
 
 def top_n(df: DataFrame, keys, order, n: int, out: str = "rn") -> DataFrame:

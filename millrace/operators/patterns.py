@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import By, Running, running
+from millrace.operators.ordered import By, Running, running, settle, with_chunks
 
 
 def micros(ts: Column) -> Column:
@@ -40,9 +40,10 @@ def strict_sequence(
     packed = flags.withColumn(
         "__e0", F.struct(event.alias("event"), *[F.col(f"__is{i}") for i in range(n)])
     )
+    packed = with_chunks(packed, order)
     for back in range(1, n):
-        packed = running(
-            packed, keys, order, [Running(f"__e{back}", "lag", F.col(f"__e{back - 1}"))]
+        packed = settle(
+            running(packed, keys, order, [Running(f"__e{back}", "lag", F.col(f"__e{back - 1}"))])
         )
     found = F.lit(True)
     for back in range(n):
@@ -75,7 +76,7 @@ def followed_by(
     """
     n = len(conditions)
     backwards = [By(c, False) for c in order]
-    frame = df
+    frame = with_chunks(df, backwards)
     event_cols = list(dict.fromkeys([order[0], *carry]))
     previous: str | None = None
     for i in range(n - 1, 0, -1):
@@ -93,13 +94,11 @@ def followed_by(
         )
         at_match = F.when(F.coalesce(conditions[i], F.lit(False)), own)
         frame = frame.withColumn(f"__m{i}", at_match)
-        # The row's own match must not count as its successor, so the carried
-        # value is taken from the next row of the key.
-        frame = running(
-            frame, keys, backwards, [Running(f"__upto{i}", "last", F.col(f"__m{i}"))]
-        )
-        frame = running(
-            frame, keys, backwards, [Running(f"__next{i}", "lag", F.col(f"__upto{i}"))]
+        # Strictly after the row: its own match is not its successor.
+        frame = settle(
+            running(
+                frame, keys, backwards, [Running(f"__next{i}", "last_before", F.col(f"__m{i}"))]
+            )
         )
         previous = f"__next{i}"
     starts = frame.where(F.coalesce(conditions[0], F.lit(False)))

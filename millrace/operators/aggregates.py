@@ -27,6 +27,9 @@ def extreme_row(
     return grouped.select("__row.*")
 
 
+_HELD_ROWS = 100_000
+
+
 def combine_then_reduce(
     df: DataFrame,
     keys: Sequence[str],
@@ -37,20 +40,38 @@ def combine_then_reduce(
 
     ``fold`` takes rows of several keys and returns one row per key in
     ``schema``, and must accept its own output as input.  Each map task folds
-    its batches first, so a hot key arrives as one row per task rather than as
-    all of its rows.
+    its batches first, so a hot key arrives as a few rows per task rather than
+    as all of its rows.  After the shuffle a task folds sorted batches and
+    releases every key that is complete, so neither side holds more than a
+    bounded number of rows.
     """
+    key_list = list(keys)
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
         for pdf in batches:
-            part = fold(pdf)
-            held = part if held is None else fold(pd.concat([held, part], ignore_index=True))
+            held = fold(pdf if held is None else pd.concat([held, fold(pdf)], ignore_index=True))
+            if len(held) > _HELD_ROWS:
+                yield held
+                held = None
+        if held is not None:
+            yield held
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: pd.DataFrame | None = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            last = pdf[key_list].iloc[-1]
+            folded = fold(pdf if held is None else pd.concat([held, pdf], ignore_index=True))
+            same = (folded[key_list].eq(last) | (folded[key_list].isna() & last.isna())).all(axis=1)
+            yield folded[~same]
+            held = folded[same]
         if held is not None:
             yield held
 
     partial = df.mapInPandas(combine, schema)
-    return partial.groupBy(*keys).applyInPandas(fold, schema)
+    return partial.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(finish, schema)
 
 
 def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:

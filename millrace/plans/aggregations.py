@@ -375,7 +375,7 @@ def first_n(t):
 
 
 def _spend_fold(rows: pd.DataFrame) -> pd.DataFrame:
-    return rows.groupby("user_id", as_index=False).agg(
+    return rows.groupby("user_id", as_index=False, dropna=False).agg(
         cents=("cents", "sum"), top=("top", "max"), n=("n", "sum")
     )
 

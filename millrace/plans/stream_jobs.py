@@ -309,6 +309,22 @@ def restart_from_checkpoint(t):
     return run_append(W.tumbling(stream()), "restart", folder=work)
 
 
+@query("STR-20", "state_schema_evolution", sql_of("agg_28_running_keyed_sum"))
+def state_schema_evolution(t):
+    # Half the input runs with the first program, the rest with an upgraded one
+    # whose state has one more field, on the same checkpoint.
+    source, work = new_folder(t.spark, "upgrade-in"), new_folder(t.spark, "upgrade")
+    rows, no = t.events.withColumn("ts", F.col("ts").cast("timestamp")), slice_number(t.events, 2)
+    settings = {"spark.sql.streaming.stateStore.encodingFormat": "avro"}
+    for half, program in enumerate([K.RunningSum(), K.CountedSum()]):
+        write_slice(rows.where(no == half), source, replay(t).files_per_slice)
+        stream = t.spark.readStream.schema(STREAM_SCHEMA).parquet(source)
+        summed = run_append(
+            K.apply(stream, "user_id", program, program.schema), "upgrade", folder=work, settings=settings
+        )
+    return summed
+
+
 @query("STR-21", "cdc_merge_stream", event_time.CDC_SQL)
 def cdc_merge_stream(t):
     # Changes are appended as they come and merged with the snapshot on read.

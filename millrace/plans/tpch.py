@@ -33,8 +33,9 @@ def _volume():
     return unit_sum(discounted(), 4)
 
 
-def _partsupp(t) -> DataFrame:
-    return t.lineitem.groupBy(
+def _partsupp(lines: DataFrame) -> DataFrame:
+    """Offers of the given lines; filter lines by part or supplier before, not after."""
+    return lines.groupBy(
         F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey")
     ).agg(
         money_sum("l_quantity").alias("ps_availqty"),
@@ -96,8 +97,11 @@ def q2(t):
         .join(t.region.where("r_name = 'EUROPE'"), _eq("n_regionkey", "r_regionkey"))
     )
     wanted = t.part.where("p_size < 15 AND p_type = 'SMALL'")
+    lines = t.lineitem.join(wanted, _eq("l_partkey", "p_partkey"), "left_semi").join(
+        european, _eq("l_suppkey", "s_suppkey"), "left_semi"
+    )
     offers = (
-        _partsupp(t).join(wanted, _eq("ps_partkey", "p_partkey")).join(european, _eq("ps_suppkey", "s_suppkey"))
+        _partsupp(lines).join(wanted, _eq("ps_partkey", "p_partkey")).join(european, _eq("ps_suppkey", "s_suppkey"))
     )
     w = Window.partitionBy("p_partkey").orderBy("ps_supplycost")
     return (
@@ -268,7 +272,7 @@ def q9(t):
     red = t.part.where(F.col("p_name").like("%red%"))
     lines = t.lineitem.join(red, _eq("l_partkey", "p_partkey"))
     sellers = t.supplier.join(t.nation, _eq("s_nationkey", "n_nationkey"))
-    cost = _partsupp(t)
+    cost = _partsupp(lines)
     same = _eq("ps_partkey", "l_partkey") & _eq("ps_suppkey", "l_suppkey")
     profit = _volume() - F.sum(F.col("ps_supplycost") * F.col("l_quantity"))
     return (
@@ -322,8 +326,7 @@ def q11(t):
         t.nation.where(F.col("n_name").isin("NATION_7", "NATION_3", "NATION_1")), _eq("s_nationkey", "n_nationkey")
     )
     value = (
-        _partsupp(t)
-        .join(german, _eq("ps_suppkey", "s_suppkey"))
+        _partsupp(t.lineitem.join(german, _eq("l_suppkey", "s_suppkey"), "left_semi"))
         .groupBy("ps_partkey")
         .agg(F.round(F.sum(F.col("ps_supplycost") * F.col("ps_availqty")), 2).alias("value"))
     )

@@ -87,7 +87,7 @@ def table_function(t):
 
 def _weighted_fold(rows: pd.DataFrame) -> pd.DataFrame:
     """Accumulator of a weighted mean; retractions carry negative weights."""
-    return rows.groupby("user_id", as_index=False)[["weighted", "weight"]].sum()
+    return rows.groupby("user_id", as_index=False, dropna=False)[["weighted", "weight"]].sum()
 
 
 @query(
@@ -209,6 +209,16 @@ def rows_and_back(t):
     return mapped.groupBy("slot", "label").agg(F.count("*").alias("n"))
 
 
+@query("UDF-12", "explain_lines")
+def explain_lines(t):
+    # The plan of a real query as rows, the way plan checks read it.
+    from millrace.operators.distribution import executed_plan
+
+    totals = t.lineitem.groupBy("l_returnflag").agg(F.sum("l_quantity").alias("q"))
+    lines = [(i, line) for i, line in enumerate(executed_plan(totals).splitlines())]
+    return t.spark.createDataFrame(lines, "line_no INT, line STRING")
+
+
 def _with_dictionary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     codes = {kind: i for i, kind in enumerate(["click", "error", "purchase", "signup", "view"])}
     handled = 0

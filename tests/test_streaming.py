@@ -15,7 +15,7 @@ SCHEMA = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, valu
 
 def _add(spark, folder, rows):
     df = spark.createDataFrame(
-        [(i, pd.Timestamp(ts), u, k, v) for i, ts, u, k, v in rows], SCHEMA
+        [(i, pd.Timestamp(ts).to_pydatetime(), u, k, v) for i, ts, u, k, v in rows], SCHEMA
     )
     df.coalesce(1).write.mode("append").parquet(folder)
 

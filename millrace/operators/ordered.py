@@ -232,28 +232,38 @@ def running(
     totals = rows.groupBy(*keys, _CHUNK).agg(
         *[_total(s, sort_key, order).alias(f"__t{i}") for i, s in enumerate(specs)]
     )
+    # The rows meet their chunk's carried values on (key hash, chunk).  That
+    # one shuffle also clusters the windows below, which partition by the same
+    # two columns and the keys; the null-safe key test settles hash collisions.
+    key_hash = F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("bigint")
     carried = totals.select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        key_hash.alias("__kh"),
         F.col(_CHUNK).alias("__kc"),
         *[
             _carried(s, F.col(f"__t{i}"), keys, chunk_order).alias(f"__c{i}")
             for i, s in enumerate(specs)
         ],
     )
+    # Written so that it stays a filter on matches: as an equi-join key it
+    # would ask for a different clustering than the windows.
     same = reduce(
         lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)],
-        F.col(_CHUNK) == F.col("__kc"),
+        [
+            F.coalesce(F.col(k) == F.col(f"__k{i}"), F.col(k).isNull() & F.col(f"__k{i}").isNull())
+            for i, k in enumerate(keys)
+        ],
+        (F.col("__hash") == F.col("__kh")) & (F.col(_CHUNK) == F.col("__kc")),
     )
-    inner = [*keys, _CHUNK]
-    local = rows.withColumns(
+    joined = rows.withColumn("__hash", key_hash).join(carried, same, "left")
+    inner = ["__hash", _CHUNK, *keys]
+    local = joined.withColumns(
         {
             "__first": _plain("row_number", None, inner, order),
             **{f"__l{i}": _plain(s.kind, s.value, inner, order) for i, s in enumerate(specs)},
         }
     )
-    joined = local.join(carried, same, "left")
-    return joined.select(
+    return local.select(
         *df.columns,
         *[
             _combined(s, F.col(f"__l{i}"), F.col(f"__c{i}"), F.col("__first")).alias(s.out)

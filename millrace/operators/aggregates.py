@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import Running, running
+
 
 def extreme_row(
     df: DataFrame, keys: Sequence[str], fields: Sequence[str], tie: Sequence[str], largest: bool = False
@@ -96,6 +98,41 @@ def histogram(df: DataFrame, value: str) -> DataFrame:
     return df.groupBy(value).agg(F.count(F.lit(1)).alias("n")).orderBy(value)
 
 
+def exact_percentiles(
+    df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float]
+) -> DataFrame:
+    """Exact interpolated percentiles from running counts of distinct values.
+
+    Rows are counted per (keys, value) first, with map-side combine; running
+    counts then place each percentile between two values.  Unlike the built-in
+    exact percentile, no task holds the distinct values of a group.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
+    placed = running(counts, keys, [value], [Running("__upto", "sum", F.col("__c"))])
+    totals = counts.groupBy(*keys).agg(F.sum("__c").alias("__n"))
+    joined = placed.join(totals, list(keys)) if keys else placed.crossJoin(F.broadcast(totals))
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("__upto") > rank, F.col(value)))
+
+    columns = []
+    for name, p in wanted.items():
+        rank = F.lit(float(p)) * (F.col("__n") - 1)
+        columns += [
+            at(F.floor(rank)).alias(f"__lo_{name}"),
+            at(F.ceil(rank)).alias(f"__hi_{name}"),
+            F.max(rank - F.floor(rank)).alias(f"__part_{name}"),
+        ]
+    found = joined.groupBy(*keys).agg(*columns)
+    return found.select(
+        *keys,
+        *[
+            (F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__part_{n}")).alias(n)
+            for n in wanted
+        ],
+    )
+
+
 def hash_sample(df: DataFrame, key: Column, parts: int, of: int) -> DataFrame:
     """A reproducible sample: rows whose key hashes into ``parts`` of ``of`` slots."""
     return df.where(F.pmod(key, F.lit(of)) < parts)

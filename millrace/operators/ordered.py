@@ -90,27 +90,30 @@ def _constant_array(values: Sequence, element_type: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{element_type}>")
 
 
-def _position(bounds: Sequence, axis: Column, axis_type: str) -> Column:
-    """How many of the sorted bounds are at or below the axis value (binary search)."""
-    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+def _add_position(df: DataFrame, bounds: Sequence, axis: Column, axis_type: str, out: str) -> DataFrame:
+    """Add how many of the sorted bounds are at or below the axis value.
+
+    A binary search, one projection per halving; it stays in generated code.
+    NULLs, which sort lowest, get position 0.
+    """
     table = _constant_array(bounds, axis_type)
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: at + F.when(F.get(table, at + step - 1) <= axis, step).otherwise(0),
-    )
+    found = df.withColumns({"__axis": axis, out: F.lit(0)})
+    for k in reversed(range(len(bounds).bit_length())):
+        at, step = F.col(out), 1 << k
+        higher = F.get(table, at + (step - 1)) <= F.col("__axis")
+        found = found.withColumn(out, at + F.when(higher, step).otherwise(0))
+    return found.drop("__axis")
 
 
-def _chunk_column(df: DataFrame, leading: By) -> Column | None:
-    """Equi-depth chunk number of the leading order column, ascending in it.
+def _add_chunks(df: DataFrame, leading: By) -> DataFrame:
+    """Add the equi-depth chunk number of the leading order column, ascending in it.
 
     The bounds are approximate percentiles from one aggregate job over that one
-    column: a fixed, small number of values reaches the driver.  NULLs, which
-    sort lowest, share the lowest chunk.
+    column: a fixed, small number of values reaches the driver.
     """
     axis = _as_number(df, leading.name)
     if axis is None:
-        return None
+        return df
     per_task = max(1, limit_bytes(df.sparkSession, ONE_TASK_BYTES))
     wanted = math.ceil(estimated_bytes(df) / per_task)
     n = min(max(wanted, _MIN_CHUNKS), _MAX_CHUNKS)
@@ -118,7 +121,9 @@ def _chunk_column(df: DataFrame, leading: By) -> Column | None:
     axis_type = df.select(axis).schema[0].dataType.simpleString()
     row = df.agg(F.percentile_approx(axis, cuts, max(1000, 4 * n)).alias("bounds")).first()
     bounds = sorted(set(row["bounds"] or []))
-    return F.coalesce(_position(bounds, axis, axis_type), F.lit(0)) if bounds else F.lit(0)
+    if not bounds:
+        return df.withColumn(_CHUNK, F.lit(0))
+    return _add_position(df, bounds, axis, axis_type, _CHUNK)
 
 
 def _plain(kind: str, value: Column | None, keys: Sequence[str], order: Sequence[By]) -> Column:
@@ -192,8 +197,7 @@ def with_chunks(df: DataFrame, order: Sequence[By | str]) -> DataFrame:
     order = _orders(order)
     if _CHUNK in df.columns or fits_one_task(df) or _sort_key(df, order) is None:
         return df
-    chunk = _chunk_column(df, order[0])
-    return df if chunk is None else df.withColumn(_CHUNK, chunk)
+    return _add_chunks(df, order[0])
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -53,9 +53,13 @@ def coalesce_text(*columns: Column) -> Column:
     return F.coalesce(*[c.cast("string") for c in columns])
 
 
-def words(text: Column) -> Column:
-    """Lower-cased word tokens, split at anything but letters, digits and ``_``."""
-    return F.filter(F.split(F.lower(text), r"\W+"), lambda w: F.length(w) > 0)
+def word_rows(df: DataFrame, text: str, out: str, *keep: str) -> DataFrame:
+    """One row per lower-cased word; anything but letters, digits and ``_`` separates.
+
+    Empty pieces are filtered after the explode, inside generated code.
+    """
+    pieces = F.explode(F.split(F.lower(F.col(text)), r"\W+")).alias(out)
+    return df.select(*keep, pieces).where(F.col(out) != "")
 
 
 class SideOutput:

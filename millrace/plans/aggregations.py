@@ -300,11 +300,19 @@ def sample_deviation(t):
        FROM lineitem GROUP BY l_returnflag""",
 )
 def percentile(t):
-    # Exact and interpolated.  Spark holds one entry per distinct value and
-    # group, which the quantity's small domain bounds.
-    return t.lineitem.groupBy("l_returnflag").agg(
-        F.percentile("l_quantity", 0.5).alias("median"), F.percentile("l_quantity", 0.9).alias("p90")
-    )
+    return A.exact_percentiles(t.lineitem, ["l_returnflag"], "l_quantity", {"median": 0.5, "p90": 0.9})
+
+
+@query(
+    "AGG-15",
+    "percentile_of_prices",
+    """SELECT round(quantile_cont(l_extendedprice, 0.5), 6) AS median,
+              round(quantile_cont(l_extendedprice, 0.99), 6) AS p99 FROM lineitem""",
+)
+def percentile_of_prices(t):
+    # Nearly every price is distinct: the case the built-in cannot hold.
+    found = A.exact_percentiles(t.lineitem, [], "l_extendedprice", {"median": 0.5, "p99": 0.99})
+    return found.select(F.round("median", 6).alias("median"), F.round("p99", 6).alias("p99"))
 
 
 @query(

@@ -264,7 +264,7 @@ def map_rows(t):
         WHERE w <> '' GROUP BY doc_id""",
 )
 def flat_map_tokens(t):
-    tokens = t.documents.select("doc_id", F.explode(P.words(F.col("text"))).alias("w"))
+    tokens = P.word_rows(t.documents, "text", "w", "doc_id")
     return tokens.groupBy("doc_id").agg(
         F.count("*").alias("tokens"), F.max(F.length("w")).cast("bigint").alias("longest")
     )
@@ -278,11 +278,7 @@ def flat_map_tokens(t):
         WHERE w <> '' GROUP BY w""",
 )
 def word_count(t):
-    return (
-        t.documents.select(F.explode(P.words(F.col("text"))).alias("word"))
-        .groupBy("word")
-        .agg(F.count("*").alias("n"))
-    )
+    return P.word_rows(t.documents, "text", "word").groupBy("word").agg(F.count("*").alias("n"))
 
 
 @query(

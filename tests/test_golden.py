@@ -69,6 +69,8 @@ def test_statement(spark, tables, sql, rows):
 def test_median_is_exact(spark, tables):
     # An exact, interpolated median; an approximate histogram would say 2.5.
     assert spark.sql("SELECT percentile(x, 0.5) FROM foo").first()[0] == 3.0
+    got = A.exact_percentiles(spark.table("foo"), [], "x", {"m": 0.5, "q": 0.1}).first()
+    assert got.m == 3.0 and abs(got.q - 1.4) < 1e-12
 
 
 def test_coalesce_of_mixed_types_is_text(spark):
@@ -78,7 +80,7 @@ def test_coalesce_of_mixed_types_is_text(spark):
 
 def test_word_count(spark):
     df = spark.createDataFrame([("Hello World how are you, my dear dear world",)], "line STRING")
-    counts = df.select(F.explode(P.words(F.col("line"))).alias("w")).groupBy("w").count().collect()
+    counts = P.word_rows(df, "line", "w").groupBy("w").count().collect()
     assert {r.w: r["count"] for r in counts} == {
         "hello": 1, "world": 2, "how": 1, "are": 1, "you": 1, "my": 1, "dear": 2,
     }

@@ -104,3 +104,11 @@ def test_reduce_folds_before_and_after_the_shuffle(spark):
     got = A.combine_then_reduce(df, ["k"], "k BIGINT, v BIGINT", fold)
     want = df.groupBy("k").agg(F.sum("v").alias("v"))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_chained_self_joins_finish(spark):
+    # Two chained self joins of one input: a diamond whose branches wait for each other.
+    ids = spark.range(100_001)
+    once = ids.alias("a").join(ids.alias("b"), F.col("a.id") == F.col("b.id")).select(F.col("a.id").alias("id"))
+    twice = once.alias("a").join(once.alias("b"), F.col("a.id") == F.col("b.id"))
+    assert twice.count() == 100_001

@@ -18,9 +18,14 @@ def cluster_by(df: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
 
 
 def save_keyed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
-    """Write a table bucketed and sorted by key; later keyed work needs no shuffle."""
+    """Write a table bucketed and sorted by key; later keyed work needs no shuffle.
+
+    Rows are shuffled to their bucket first, so each bucket is one file rather
+    than one file per writing task.
+    """
     (
-        df.write.mode("overwrite")
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
         .format("parquet")
         .bucketBy(buckets, key)
         .sortBy(key)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.exact import units
 from millrace.operators import aggregates as A
+from millrace.operators.distribution import executed_plan
 from millrace.operators.ordered import By, top_n
 from millrace.plans.registry import query
 from millrace.sources.sinks import discard
@@ -211,10 +212,10 @@ def rows_and_back(t):
 
 @query("UDF-12", "explain_lines")
 def explain_lines(t):
-    # The plan of a real query as rows, the way plan checks read it.
-    from millrace.operators.distribution import executed_plan
-
+    # The query runs first (one row per flag), so the lines are the final plan
+    # after adaptive re-planning on the sizes it met.
     totals = t.lineitem.groupBy("l_returnflag").agg(F.sum("l_quantity").alias("q"))
+    totals.collect()
     lines = [(i, line) for i, line in enumerate(executed_plan(totals).splitlines())]
     return t.spark.createDataFrame(lines, "line_no INT, line STRING")
 

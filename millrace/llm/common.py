@@ -25,14 +25,14 @@ def whole_text(docs: DataFrame, text_col: str = "text") -> Column:
     return F.coalesce(docs[text_col].cast("string"), F.lit(""))
 
 
-def keep_table(df: DataFrame, label: str) -> DataFrame:
+def keep_table(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` under the session's shared folder and read it back.
 
     Later steps restart from these files when an executor is lost.
     """
     spark = df.sparkSession
     folder = new_folder(spark, f"llm-{label}")
-    df.write.parquet(folder)
+    df.write.option("compression", compression).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

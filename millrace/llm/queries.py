@@ -6,8 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
 from millrace.llm.exact_dedup import exact_dedup
+from millrace.llm.packing import pack_documents
 from millrace.llm.simhash_dedup import simhash_groups
+from millrace.llm.token_counts import token_counts
+from millrace.llm.token_files import read_token_files, write_token_files
 from millrace.tables import Tables
 
 
@@ -19,9 +24,26 @@ def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(Tables(spark, folder).documents)
 
 
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(Tables(spark, folder).documents, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return read_token_files(write_token_files(Tables(spark, folder).documents, path, end_id=2))
+
+
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(Tables(spark, folder).documents, path, end_id=1, capacity=4096)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_token_counts": op3_token_counts,
+    "op5_token_files": op5_token_files,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
+from millrace.llm.decontaminate import benchmark_hits
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.packing import pack_documents
+from millrace.llm.secrets import find_secrets
 from millrace.llm.simhash_dedup import simhash_groups
 from millrace.llm.token_counts import token_counts
 from millrace.llm.token_files import read_token_files, write_token_files
@@ -28,6 +30,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(Tables(spark, folder).documents, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return find_secrets(Tables(spark, folder).documents).drop("found")
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return read_token_files(write_token_files(Tables(spark, folder).documents, path, end_id=2))
@@ -38,15 +44,23 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(Tables(spark, folder).documents, path, end_id=1, capacity=4096)
 
 
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    t = Tables(spark, folder)
+    return benchmark_hits(t.documents, t.benchmark).drop("items")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_secret_scan": op4_secret_scan,
     "op5_token_files": op5_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": f"""
@@ -55,4 +69,31 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
         FROM d JOIN g USING (text_sha256)
     """,
+    "op10_benchmark_decontamination": f"""
+        WITH dw AS (
+            SELECT doc_id, {_WORDS} AS w FROM documents
+        ), bw AS (
+            SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item, w[i + 1 : i + 13] AS win
+            FROM (SELECT item, w, unnest(range(0, greatest(len(w) - 13, 0) + 1)) AS i FROM bw WHERE len(w) > 0)
+        ), sizes AS (
+            SELECT DISTINCT len(win) AS n FROM windows
+        ), places AS (
+            SELECT doc_id, p, n, w[p + 1 : p + n] AS win
+            FROM (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS p FROM dw, sizes WHERE len(w) >= n)
+        ), hits AS (
+            SELECT doc_id, p, n, item FROM places JOIN windows USING (win)
+        ), words AS (
+            SELECT doc_id, count(DISTINCT q) AS n_hit
+            FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names
+            FROM hits GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
 }

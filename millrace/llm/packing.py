@@ -109,8 +109,7 @@ def ranked(pieces: DataFrame, key: list[str], chunks: int) -> DataFrame:
     return (
         cut.withColumn("inside", F.row_number().over(inside) - 1)
         .join(starts, ["length", "chunk"])
-        .withColumn("rank", F.col("start_rank") + F.col("inside"))
-        .drop("chunk", "inside", "start_rank")
+        .select(*pieces.columns, (F.col("start_rank") + F.col("inside")).alias("rank"))
     )
 
 

@@ -10,7 +10,9 @@ import public_tokenizers
 
 from millrace.llm.decontaminate import benchmark_hits
 from millrace.llm.exact_dedup import exact_dedup
+from millrace.llm.lm_scoring import lm_scores
 from millrace.llm.packing import pack_documents
+from millrace.llm.quality import quality_scores
 from millrace.llm.secrets import find_secrets
 from millrace.llm.simhash_dedup import simhash_groups
 from millrace.llm.token_counts import token_counts
@@ -39,6 +41,15 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(write_token_files(Tables(spark, folder).documents, path, end_id=2))
 
 
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scores(Tables(spark, folder).documents)
+
+
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    t = Tables(spark, folder)
+    return quality_scores(t.documents, t.labels)
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return pack_documents(Tables(spark, folder).documents, path, end_id=1, capacity=4096)
@@ -55,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_secret_scan": op4_secret_scan,
     "op5_token_files": op5_token_files,
+    "op6_lm_scoring": op6_lm_scoring,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }

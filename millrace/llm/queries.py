@@ -10,6 +10,7 @@ import public_tokenizers
 
 from millrace.llm.decontaminate import benchmark_hits
 from millrace.llm.exact_dedup import exact_dedup
+from millrace.llm.licenses import license_scan
 from millrace.llm.lm_scoring import lm_scores
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import quality_scores
@@ -45,6 +46,10 @@ def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scores(Tables(spark, folder).documents)
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(Tables(spark, folder).documents)
+
+
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     t = Tables(spark, folder)
     return quality_scores(t.documents, t.labels)
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_token_files": op5_token_files,
     "op6_lm_scoring": op6_lm_scoring,
+    "op7_license_scan": op7_license_scan,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.scratch import new_folder
-from millrace.sizing import BROADCAST_BYTES, limit_bytes
+from millrace.sizing import BROADCAST_BYTES, estimated_bytes, limit_bytes
 
+UNKNOWN_BYTES = 1 << 60
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -41,6 +42,14 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def input_bytes(df: DataFrame, text_col: str = "text") -> int:
+    """Catalyst's estimate of the size of ``df``; where it knows none, the texts' bytes by a job."""
+    size = estimated_bytes(df)
+    if size < UNKNOWN_BYTES:
+        return size
+    return df.agg(F.coalesce(F.sum(F.octet_length(df[text_col].cast("string"))), F.lit(0))).first()[0]
+
+
 def if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Mark ``df`` for broadcast when ``rows`` (counted) times ``row_bytes`` is under the bound.
 

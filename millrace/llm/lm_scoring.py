@@ -32,8 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import keep_table, shuffle_width, whole_text
-from millrace.sizing import estimated_bytes
+from millrace.llm.common import input_bytes, keep_table, shuffle_width, whole_text
 
 BLOCK_BYTES = 6 << 20
 BUCKET_BYTES = 16 << 20
@@ -258,8 +257,7 @@ def lm_scores(
 ) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    buckets = max(2 * shuffle_width(spark), -(-4 * estimated_bytes(docs) // BUCKET_BYTES))
-    buckets = min(buckets, 1 << 30)
+    buckets = max(2 * shuffle_width(spark), -(-4 * input_bytes(docs, text_col) // BUCKET_BYTES))
     blocks = keep_table(text_blocks(docs, id_col, text_col, folds, fold), "lm-blocks", "zstd")
     answers = keep_table(
         blocks.mapInArrow(_ask(buckets), ENTRIES).groupBy("bucket", "kind").applyInPandas(_answer, ANSWERS), "lm-answers"

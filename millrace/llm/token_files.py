@@ -1,8 +1,9 @@
 """Token ids as frequency-ranked, byte-aligned, variable-length files.
 
-Ids are replaced by their rank of frequency over the whole corpus, so common ids
-are small numbers.  A rank takes one to four bytes; the lengths of four ranks
-share one control byte, kept apart from the data bytes.  Decoding looks each
+The table is range-sorted by doc_id into parts.  A part's task encodes its texts,
+replaces ids by their rank of frequency in the part, so common ids are small
+numbers, and writes blocks.  A rank takes one to four bytes; the lengths of four
+ranks share one control byte, kept apart from the data bytes.  Decoding looks each
 control byte up in a table of 256 rows and gathers whole blocks with numpy.
 
 Files are Parquet files in ascending doc_id order (by part, then block), one row
@@ -14,10 +15,11 @@ self-contained, all numbers little-endian:
     ceil(ids / 4) control bytes, two bits a rank, lowest first: bytes of the rank - 1
     data bytes
 
-The ranks' ids are a table of their own (rank, id), at most as long as the vocabulary.
+A part's first row has block -1 and holds the ids by rank (u32 each), at most as
+many as the vocabulary has.
 
 Defined results: null text is empty text (the end id alone); null doc_ids sort
-first; equal doc_ids are ordered by their ids' hash, then their ids; an empty
+first; equal doc_ids are ordered by their text's hash, then their text; an empty
 table gives no blocks.
 """
 
@@ -26,7 +28,6 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +35,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import if_small, keep_table, whole_text
-from millrace.llm.tokens import id_table, library
+from millrace.llm.common import if_small, input_bytes, keep_table, whole_text
+from millrace.llm.tokens import id_table
 
 MAGIC = b"MRV1"
 HEAD = struct.Struct("<4sIQQ")
 BLOCK_IDS = 1 << 20
-PART_IDS = 1 << 24
+PART_BYTES = 16 << 20  # of the table's files, some 10 million ids
+RANK_TABLE_BYTES = 200_000  # ids by rank of a part in a broadcast
 BLOCK_ROW_BYTES = 64  # an offset row in a broadcast
 
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
@@ -96,106 +98,75 @@ def unpack_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
 
 
 # --- Spark steps ----------------------------------------------------------------
-def encode_documents(
-    docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(doc_id, ids): packed ids of the whole text, then ``end_id``."""
-    texts = docs.select(docs[id_col].cast("bigint").alias("doc_id"), whole_text(docs, text_col).alias("text"))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = id_table(tokenizer_path)
-        end = np.array([end_id], table.lib.dtype).tobytes()
-        for b in batches:
-            ids = [table.encode(t) + end for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-
-    return texts.mapInArrow(encode, "doc_id BIGINT, ids BINARY")
-
-
-def id_ranks(encoded: DataFrame, dtype: np.dtype) -> DataFrame:
-    """(rank, id, n): ids by falling frequency over all documents, then by id."""
+FILES = "part INT, block INT, n_docs INT, n_ids BIGINT, data BINARY"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for b in batches:
-            for ids in b.column("ids").to_pylist():
-                found = np.bincount(np.frombuffer(ids, dtype))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[: len(found)] += found
-        there = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["id", "n"])
-
-    counts = encoded.select("ids").mapInArrow(count, "id BIGINT, n BIGINT").groupBy("id").agg(F.sum("n").alias("n"))
-    order = Window.orderBy(F.desc("n"), "id")  # at most one row per word of the vocabulary
-    return counts.select((F.row_number().over(order) - 1).alias("rank"), "id", "n")
 
+def rank_ids(counts: np.ndarray) -> np.ndarray:
+    """Ids by falling frequency, then by id; ids that do not occur are left out."""
+    order = np.lexsort((np.arange(len(counts)), -counts))
+    return order[: np.count_nonzero(counts)].astype("<u4")
 
-@dataclass(frozen=True)
-class TokenFiles:
-    """What was written: blocks, and the id of each rank (bounded by the vocabulary)."""
 
-    blocks: DataFrame
-    ids_by_rank: np.ndarray
+def _row(part: int, block: int, n_docs: int, n_ids: int, data: bytes) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    cells = [pa.array([v], k) for v, k in zip((part, block, n_docs, n_ids, data), kinds)]
+    return pa.RecordBatch.from_arrays(cells, ["part", "block", "n_docs", "n_ids", "data"])
 
 
 def write_token_files(
     docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
-) -> TokenFiles:
-    """Encode ``docs`` and write blocks in ascending doc_id order under the shared folder."""
-    spark, dtype = docs.sparkSession, library(tokenizer_path).dtype
-    encoded = keep_table(encode_documents(docs, tokenizer_path, end_id, id_col, text_col), "encoded", "zstd")
-    ranks = keep_table(id_ranks(encoded, dtype), "id-ranks").orderBy("rank").collect()
-    ids_by_rank = np.array([r["id"] for r in ranks], np.uint32)
-    rank_of = np.zeros(int(ids_by_rank.max(initial=0)) + 1, np.uint32)
-    rank_of[ids_by_rank] = np.arange(len(ids_by_rank), dtype=np.uint32)
-    sent = spark.sparkContext.broadcast(rank_of)
-    parts = max(1, -(-sum(r["n"] for r in ranks) // PART_IDS))
+) -> DataFrame:
+    """Encode ``docs``, each text followed by ``end_id``; the files, under the shared folder."""
+    texts = docs.select(docs[id_col].cast("bigint").alias("doc_id"), whole_text(docs, text_col).alias("text"))
+    parts = max(1, -(-input_bytes(docs, text_col) // PART_BYTES))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block, held, doc_ids, lengths = TaskContext.get().partitionId(), 0, [], [], []
-
-        def flush() -> pa.RecordBatch:
-            ids = rank_of_id[np.frombuffer(b"".join(held), dtype)]
-            row = [[part], [block], [len(doc_ids)], [len(ids)], [pack_block(doc_ids, lengths, ids)]]
-            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-            names = ["part", "block", "n_docs", "n_ids", "data"]
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names)
-
-        rank_of_id, size = sent.value, 0
-        for b in batches:
-            for doc_id, ids in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
-                doc_ids.append(doc_id)
-                lengths.append(len(ids) // dtype.itemsize)
-                held.append(ids)
-                size += lengths[-1]
-                if size >= BLOCK_IDS:
-                    yield flush()
-                    block, size, held, doc_ids, lengths = block + 1, 0, [], [], []
-        if doc_ids:
-            yield flush()
+        table, part = id_table(tokenizer_path), TaskContext.get().partitionId()
+        kind = table.lib.dtype
+        end = np.array([end_id], kind).tobytes()
+        doc_ids, packed, counts = [], [], np.zeros(1 << 8 * kind.itemsize if kind.itemsize == 2 else 0, np.int64)
+        for b in batches:  # a part's ids stay in memory: PART_BYTES bounds them
+            fresh = [table.encode(t) + end for t in b.column("text").to_pylist()]
+            found = np.bincount(np.frombuffer(b"".join(fresh), kind), minlength=len(counts))
+            if len(found) > len(counts):
+                counts = np.concatenate([counts, np.zeros(len(found) - len(counts), np.int64)])
+            counts += found
+            doc_ids += b.column("doc_id").to_pylist()
+            packed += fresh
+        if not doc_ids:
+            return
+        ids_by_rank = rank_ids(counts)
+        rank_of = np.zeros(len(counts), np.uint32)
+        rank_of[ids_by_rank] = np.arange(len(ids_by_rank), dtype=np.uint32)
+        yield _row(part, -1, 0, 0, ids_by_rank.tobytes())
+        lengths = [len(p) // kind.itemsize for p in packed]
+        first = size = block = 0
+        for last, n in enumerate(lengths, 1):
+            size += n
+            if size >= BLOCK_IDS or last == len(lengths):
+                ranks = rank_of[np.frombuffer(b"".join(packed[first:last]), kind)]
+                data = pack_block(doc_ids[first:last], lengths[first:last], ranks)
+                yield _row(part, block, last - first, size, data)
+                first, size, block = last, 0, block + 1
 
     ordered = (
-        encoded.withColumn("tie", F.xxhash64("ids"))
+        texts.withColumn("tie", F.xxhash64("text"))
         .repartitionByRange(parts, "doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie", "ids")
-        .select("doc_id", "ids")
+        .sortWithinPartitions("doc_id", "tie", "text")
+        .select("doc_id", "text")
     )
-    blocks = ordered.mapInArrow(write, "part INT, block INT, n_docs INT, n_ids BIGINT, data BINARY")
-    return TokenFiles(keep_table(blocks, "token-files", "uncompressed"), ids_by_rank)
+    return keep_table(ordered.mapInArrow(write, FILES), "token-files", "zstd")
 
 
-def read_token_files(files: TokenFiles) -> DataFrame:
+def read_token_files(files: DataFrame) -> DataFrame:
     """Per document, decoded from the files: doc_id, start, n_tokens, ids_crc32."""
-    spark = files.blocks.sparkSession
-    sent = spark.sparkContext.broadcast(files.ids_by_rank.astype("<u4"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_by_rank = sent.value
         for b in batches:
-            for part, block, data in zip(*(b.column(c).to_pylist() for c in ("part", "block", "data"))):
+            columns = (b.column(c).to_pylist() for c in ("part", "block", "data", "ranks"))
+            for part, block, data, ranked in zip(*columns):
                 doc_ids, lengths, ranks = unpack_block(data)
-                raw = memoryview(ids_by_rank[ranks].astype("<u4").tobytes())
+                raw = memoryview(np.frombuffer(ranked, "<u4")[ranks].tobytes())
                 end = np.cumsum(lengths)
                 crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(end.tolist(), lengths.tolist())]
                 yield pa.RecordBatch.from_arrays(
@@ -204,13 +175,16 @@ def read_token_files(files: TokenFiles) -> DataFrame:
                         pa.array(doc_ids, pa.int64()), pa.array(end - lengths), pa.array(lengths), pa.array(crc, pa.int64()),
                     ],
                     ["part", "block", "doc_id", "inside", "n_tokens", "ids_crc32"],
-                )
-
-    rows = files.blocks.select("part", "block", "data").mapInArrow(
-        read, "part INT, block INT, doc_id BIGINT, inside BIGINT, n_tokens BIGINT, ids_crc32 BIGINT"
+                )
+
+    blocks, tables = files.where("block >= 0"), files.where("block < 0").select("part", F.col("data").alias("ranks"))
+    parts = tables.count()
+    rows = (
+        blocks.join(if_small(tables, parts, RANK_TABLE_BYTES), "part")
+        .select("part", "block", "data", "ranks")
+        .mapInArrow(read, "part INT, block INT, doc_id BIGINT, inside BIGINT, n_tokens BIGINT, ids_crc32 BIGINT")
     )
-    before = block_starts(files.blocks)
-    before = if_small(before, files.blocks.count(), BLOCK_ROW_BYTES)
+    before = if_small(block_starts(blocks), blocks.count(), BLOCK_ROW_BYTES)
     return rows.join(before, ["part", "block"]).select(
         "doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )

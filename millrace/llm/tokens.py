@@ -10,18 +10,31 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 800_000
 CACHE_PIECE_BYTES = 64  # longer pieces are encoded each time
 
 # The White_Space characters of Unicode (fixed values).
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # A run of other characters with one space before it, or white space up to that space.
 SPACED_PIECES = re.compile(f"[ ]?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-_PLAIN = re.compile("([ ]?)([A-Za-z]+)([.,]?)")
+# A word the tokenizer does not cut or compose: ASCII and Latin-1 letters.
+_PLAIN = re.compile("([ ]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+MARKS = b".,!?;:*#$%&"  # never part of a word, a contraction or a special string
+
+
+def _byte_letters() -> dict[int, str]:
+    """The visible character that byte-level models have for each byte."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {**{b: chr(b) for b in seen}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+
+_LETTERS = _byte_letters()
 
 
 class Library:
@@ -36,7 +49,9 @@ class Library:
         self.tokenizer.no_padding()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self._tokenize = self.tokenizer.model.tokenize
         self._plain_form = self._find_plain_form()
+        self.plain = self._plain_form is not None
 
     def encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -44,12 +59,13 @@ class Library:
     def _find_plain_form(self):
         """How the model sees a plain word, if it sees it directly.
 
-        A word of ASCII letters needs no byte mapping, so the library's model can
-        be asked without its pre-tokenizer.  Tried on a few words; where any
-        differs, every piece goes through the whole library.
+        Only its bytes need names, so the library's model can be asked without its
+        normalizer and pre-tokenizer.  Tried on a few words with every letter; where
+        any differs, every piece goes through the whole library.
         """
-        forms = (lambda s, w: w.lower(), lambda s, w: ("Ġ" if s else "") + w)
-        words = ["the", "Of", "THANKS", "a", "interoperating", "Zzyzxq"]
+        forms = (lambda s, w: w.lower(), lambda s, w: s + w)
+        words = ["the", "Of", "THANKS", "a", "interoperating", "Zzyzxq", "schön", "él"]
+        words += [f"x{chr(c)}y" for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]
         for form in forms:
             if all(
                 self._model_ids(form(s, w)) == self.encode(s + w) and
@@ -60,7 +76,9 @@ class Library:
         return None
 
     def _model_ids(self, piece: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(piece)]
+        if piece[0] == " " or not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(_LETTERS)
+        return [t.id for t in self._tokenize(piece)]
 
     @lru_cache(maxsize=16)  # noqa: B019  (one object per worker)
     def _mark(self, mark: str) -> list[int]:
@@ -107,14 +125,24 @@ class LengthTable(dict):
 
 
 class IdTable(dict):
-    """Packed ids of white-space separated pieces, for tokenizers that drop white space."""
+    """Packed ids of white-space separated pieces, for tokenizers that drop white space.
+
+    A piece is looked up in lower case where the tokenizer lower-cases itself, and
+    marks after a plain word are looked up on their own.
+    """
 
     def __init__(self, lib: Library):
         super().__init__()
         self.lib = lib
+        self.lower = lib.piece_ids("Word") == lib.piece_ids("word")
+        self.specials = [x.encode() for x in lib.specials]
+        self.code = "H" if lib.dtype.itemsize == 2 else "I"
 
     def __missing__(self, piece: bytes) -> bytes:
-        ids = np.array(self.lib.piece_ids(piece.decode("utf-8", "replace")), self.lib.dtype).tobytes()
+        body = piece.rstrip(MARKS)
+        if body != piece and body.isalpha() and self.lib.plain:
+            return self[body] + self[piece[len(body) :]]
+        ids = array(self.code, self.lib.piece_ids(piece.decode("utf-8", "replace"))).tobytes()
         if len(piece) <= CACHE_PIECE_BYTES:
             if len(self) >= CACHE_PIECES:
                 self.clear()
@@ -123,7 +151,12 @@ class IdTable(dict):
 
     def encode(self, text: str) -> bytes:
         """All ids of ``text``, little-endian, ``lib.dtype`` wide."""
-        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
+        raw = text.encode("utf-8", "replace")
+        if self.lower:
+            small = raw.lower()
+            if not any(s in small for s in self.specials):  # special strings are told by case
+                raw = small
+        return b"".join(map(self.__getitem__, raw.split()))
 
 
 @lru_cache(maxsize=2)

@@ -42,3 +42,15 @@ def rebalance(df: DataFrame, n: int | None = None) -> DataFrame:
 def executed_plan(df: DataFrame) -> str:
     """Text of the physical plan, for plan checks."""
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def explained(df: DataFrame, mode: str) -> str:
+    """Explain text in one mode: simple, extended, codegen, cost or formatted."""
+    modes = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode
+    return df._jdf.queryExecution().explainString(modes.fromString(mode))
+
+
+def to_every_partition(df: DataFrame, n: int) -> DataFrame:
+    """Broadcast layout: all rows in each of ``n`` partitions; for small tables."""
+    copies = df.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return partition_by_id(copies, F.col("__copy"), n).drop("__copy")

@@ -31,6 +31,8 @@ def iterate(
         state = following
     raise RuntimeError(f"no convergence within {max_rounds} rounds")
 
+_SALTS = 16
+
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest vertex of each connected component: ``(vertex, component)``.
@@ -57,10 +59,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         lowered = labels.join(near, F.col("vertex") == F.col("v")).select(
             "vertex", F.least("component", "near").alias("component")
         )
-        target = lowered.select(
-            F.col("vertex").alias("__label"), F.col("component").alias("__next")
+        # Only labels in use are looked up, each under every salt: a giant component
+        # is one label for most vertices, and its vertices meet it in many tasks.
+        used = lowered.select(F.col("component").alias("__label")).distinct()
+        target = lowered.join(used, F.col("vertex") == F.col("__label"), "left_semi").select(
+            F.col("vertex").alias("__label"),
+            F.col("component").alias("__next"),
+            F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("__salt"),
         )
-        return lowered.join(target, F.col("component") == F.col("__label"), "left").select(
+        salted = lowered.withColumn("__own_salt", F.pmod(F.xxhash64("vertex"), F.lit(_SALTS)).cast("int"))
+        same = (F.col("component") == F.col("__label")) & (F.col("__own_salt") == F.col("__salt"))
+        return salted.join(target, same, "left").select(
             "vertex", F.least("component", F.col("__next")).alias("component")
         )
 

@@ -113,9 +113,11 @@ def latest_before(
 
     Both sides become one ordered history per key and the right columns are
     carried forward, so each row is visited once; ``tie`` orders left rows of
-    the same time.  Right rows come before left rows at the same time.
+    the same time.  Right rows come before left rows at the same time; of right
+    rows with the same time the largest in ``take`` (in its order) is the latest.
     """
     carried = F.struct(*[F.col(c) for c in take])
+    settled = right.groupBy(*keys, right_time).agg(F.max(carried).alias("__right"))
     left_cols = [c for c in left.columns if c not in keys]
     l = left.select(
         *keys,
@@ -124,12 +126,12 @@ def latest_before(
         F.col(tie).cast("bigint").alias("__tie"),
         F.struct(*[F.col(c) for c in left_cols]).alias("__left"),
     )
-    r = right.select(
+    r = settled.select(
         *keys,
         F.col(right_time).alias("__t"),
         F.lit(0).alias("__side"),
         F.lit(0).cast("bigint").alias("__tie"),
-        carried.alias("__right"),
+        "__right",
     )
     history = l.unionByName(r, allowMissingColumns=True)
     filled = running(

@@ -28,7 +28,7 @@ from millrace.scratch import cut_lineage
 from millrace.sizing import ONE_TASK_BYTES, estimated_bytes, fits_one_task, limit_bytes
 
 _CHUNK = "__chunk"
-_MIN_CHUNKS, _MAX_CHUNKS = 8, 16384
+_MIN_CHUNKS = 8
 
 
 @dataclass(frozen=True)
@@ -109,14 +109,14 @@ def _add_chunks(df: DataFrame, leading: By) -> DataFrame:
     """Add the equi-depth chunk number of the leading order column, ascending in it.
 
     The bounds are approximate percentiles from one aggregate job over that one
-    column: a fixed, small number of values reaches the driver.
+    column: one number for each chunk reaches the driver.
     """
     axis = _as_number(df, leading.name)
     if axis is None:
         return df
     per_task = max(1, limit_bytes(df.sparkSession, ONE_TASK_BYTES))
     wanted = math.ceil(estimated_bytes(df) / per_task)
-    n = min(max(wanted, _MIN_CHUNKS), _MAX_CHUNKS)
+    n = max(wanted, _MIN_CHUNKS)
     cuts = _constant_array([i / n for i in range(1, n)], "double")
     axis_type = df.select(axis).schema[0].dataType.simpleString()
     row = df.agg(F.percentile_approx(axis, cuts, max(1000, 4 * n)).alias("bounds")).first()
@@ -285,8 +285,8 @@ def count_windows(df: DataFrame, keys, order, size: int, slide: int | None = Non
     """Assign rows to count windows of ``size`` rows per key, in arrival order.
 
     Adds ``window_no`` (0-based).  With ``slide`` a row belongs to every window
-    that covers it, so rows repeat ``ceil(size / slide)`` times at most.  Windows
-    that never filled are left out: they do not fire.
+    that covers it, so rows repeat ``ceil(size / slide)`` times at most.  Windows that
+    never filled are still there; ``fired_windows`` aggregates and leaves them out.
     """
     slide = slide or size
     numbered = row_numbers(df, keys, order, "__rn")
@@ -296,13 +296,15 @@ def count_windows(df: DataFrame, keys, order, size: int, slide: int | None = Non
     assigned = numbered.withColumn(
         "window_no", F.explode(F.when(first <= last, F.sequence(first, last)))
     )
-    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    same = reduce(
-        lambda a, b: a & b,
-        [assigned[k].eqNullSafe(totals[k]) for k in keys],
-        F.col("window_no") * slide + size <= F.col("__n"),
-    )
-    return assigned.join(totals, same, "left_semi").drop("__rn")
+    # A window fired if it holds ``size`` rows.  The counts are combined map-side,
+    # so a hot key is one row per window and task; no row meets its key's others.
+    return assigned.drop("__rn")
+
+
+def fired_windows(assigned: DataFrame, keys, aggs: Sequence[Column], size: int) -> DataFrame:
+    """Aggregates of the count windows that filled up; the others did not fire."""
+    totals = assigned.groupBy(*keys, "window_no").agg(F.count(F.lit(1)).alias("__n"), *aggs)
+    return totals.where(F.col("__n") == size).drop("__n")
 
 
 def sessions(df: DataFrame, keys, ts: str, tie: str, gap_seconds: Column) -> DataFrame:

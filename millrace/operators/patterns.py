@@ -37,8 +37,10 @@ def strict_sequence(
     n = len(conditions)
     event = F.struct(*[F.col(c) for c in dict.fromkeys([order[0], *carry])])
     flags = df.withColumns({f"__is{i}": F.coalesce(c, F.lit(False)) for i, c in enumerate(conditions)})
-    packed = flags.withColumn(
-        "__e0", F.struct(event.alias("event"), *[F.col(f"__is{i}") for i in range(n)])
+    # Only keys, order and the event travel on: the steps below write what they get.
+    packed = flags.select(
+        *dict.fromkeys([*keys, *order]),
+        F.struct(event.alias("event"), *[F.col(f"__is{i}") for i in range(n)]).alias("__e0"),
     )
     packed = with_chunks(packed, order)
     for back in range(1, n):
@@ -76,8 +78,10 @@ def followed_by(
     """
     n = len(conditions)
     backwards = [By(c, False) for c in order]
-    frame = with_chunks(df, backwards)
     event_cols = list(dict.fromkeys([order[0], *carry]))
+    flags = [F.coalesce(c, F.lit(False)).alias(f"__is{i}") for i, c in enumerate(conditions)]
+    # Only keys, order, event and flags travel on: the steps below write what they get.
+    frame = with_chunks(df.select(*dict.fromkeys([*keys, *order, *event_cols]), *flags), backwards)
     previous: str | None = None
     for i in range(n - 1, 0, -1):
         own = F.struct(
@@ -92,7 +96,7 @@ def followed_by(
                 ]
             ),
         )
-        at_match = F.when(F.coalesce(conditions[i], F.lit(False)), own)
+        at_match = F.when(F.col(f"__is{i}"), own)
         frame = frame.withColumn(f"__m{i}", at_match)
         # Strictly after the row: its own match is not its successor.
         frame = settle(
@@ -101,7 +105,7 @@ def followed_by(
             )
         )
         previous = f"__next{i}"
-    starts = frame.where(F.coalesce(conditions[0], F.lit(False)))
+    starts = frame.where("__is0")
     last_time = F.col(f"{previous}.{order[0]}_{n}")
     span = micros(last_time) - micros(F.col(order[0]))
     matched = F.coalesce(span <= within_seconds * 1_000_000, F.lit(False))

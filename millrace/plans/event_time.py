@@ -68,14 +68,14 @@ def _session_totals(rows):
 
 @query("STR-05", "session_window", SESSION_SQL)
 def session_window(t):
-    rows = sessions(t.events, ["user_id"], "ts", "event_id", F.lit(3600))
+    rows = sessions(t.events.drop("props"), ["user_id"], "ts", "event_id", F.lit(3600))
     return _session_totals(rows.withColumn("closes", F.col("ts") + F.expr("interval 1 hour")))
 
 
 @query("STR-06", "dynamic_session_window", DYNAMIC_SQL)
 def dynamic_session_window(t):
     error = F.col("event_type") == "error"
-    rows = sessions(t.events, ["user_id"], "ts", "event_id", F.when(error, 600).otherwise(7200))
+    rows = sessions(t.events.drop("props"), ["user_id"], "ts", "event_id", F.when(error, 600).otherwise(7200))
     closes = F.when(error, F.col("ts") + F.expr("interval 10 minutes")).otherwise(
         F.col("ts") + F.expr("interval 2 hours")
     )

@@ -102,8 +102,11 @@ def limit_after_sort(t):
        FROM orders GROUP BY 1""",
 )
 def custom_partitioner(t):
-    placed = D.partition_by_id(t.orders, F.col("o_custkey") % 5, 5)
-    return placed.groupBy(F.spark_partition_id().alias("part_no")).agg(
+    # Five logical partitions, each spread over as many tasks as the cluster takes.
+    width = max(1, int(t.spark.conf.get("spark.sql.shuffle.partitions")) // 5)
+    spread = F.col("o_custkey") % 5 + 5 * F.pmod(F.xxhash64("o_orderkey"), F.lit(width))
+    placed = D.partition_by_id(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), spread, 5 * width)
+    return placed.groupBy((F.spark_partition_id() % 5).alias("part_no")).agg(
         F.count("*").alias("n"), money_sum("o_totalprice").alias("total")
     )
 
@@ -152,3 +155,26 @@ def pre_keyed(t):
 def redistribute(t):
     spread = D.rebalance(t.documents.select("lang", "n_chars"))
     return spread.groupBy("lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+
+
+@query(
+    "SRT-11",
+    "layouts",
+    """SELECT 'round-robin' AS layout, count(*) AS n FROM documents
+       UNION ALL SELECT 'forward', count(*) FROM documents
+       UNION ALL SELECT 'broadcast', count(*) FROM nation""",
+)
+def layouts(t):
+    # Rows that are where the layout says: dealt in turn over all partitions,
+    # left where they were read, and all of a small table in every partition.
+    n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    here = F.spark_partition_id()
+    dealt = D.rebalance(t.documents.select("doc_id"), n).groupBy(here.alias("p")).agg(F.count("*").alias("c"))
+    in_turn = dealt.agg(F.lit("round-robin").alias("layout"), F.sum("c").alias("n"))
+    kept = t.documents.select("doc_id", here.alias("before")).where("doc_id IS NOT NULL")
+    forward = kept.where(F.col("before") == here).agg(F.lit("forward"), F.count("*"))
+    copies = D.to_every_partition(t.nation.select("n_nationkey"), n).groupBy(here.alias("p")).agg(
+        F.count("*").alias("c")
+    )
+    everywhere = copies.agg(F.lit("broadcast"), F.when(F.count("*") == n, F.min("c")))
+    return in_turn.union(forward).union(everywhere)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import scalar as S
 from millrace.functions.exact import money_sum, units
-from millrace.operators.ordered import By, Running, count_windows, keep_one, running, top_n
+from millrace.operators.ordered import By, Running, count_windows, fired_windows, keep_one, running, top_n
 from millrace.plans.registry import query
 
 _D = "CAST({} AS DECIMAL(12,2))".format
@@ -203,11 +203,9 @@ def rank_in_subquery(t):
 
 def _windows(t, size, slide=None):
     rows = t.events.select("user_id", "ts", "event_id", units("value").alias("cents"))
-    return (
-        count_windows(rows, ["user_id"], ["ts", "event_id"], size, slide)
-        .groupBy("user_id", "window_no")
-        .agg(F.sum("cents").alias("cents"), F.min("event_id").alias("first_event"))
-    )
+    assigned = count_windows(rows, ["user_id"], ["ts", "event_id"], size, slide)
+    totals = [F.sum("cents").alias("cents"), F.min("event_id").alias("first_event")]
+    return fired_windows(assigned, ["user_id"], totals, size)
 
 
 @query(

@@ -110,7 +110,9 @@ def arithmetic(t):
 )
 def casts(t):
     # The day goes through unpadded text (1998-2-1), which must be accepted.
-    day = F.concat_ws("-", F.year("o_orderdate"), F.month("o_orderdate"), F.day("o_orderdate"))
+    # No date gives no text, where joining with a separator would give an empty one.
+    parts = [f("o_orderdate").cast("string") for f in (F.year, F.month, F.day)]
+    day = F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2])
     whole = F.floor("o_totalprice")
     return t.orders.select(
         "o_orderkey",

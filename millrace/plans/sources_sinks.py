@@ -81,7 +81,7 @@ def random_rows(t):
 @query("SRC-05", "delimited_files", "SELECT * FROM customer")
 def delimited_files(t):
     path = new_folder(t.spark, "delimited")
-    data = t.customer.select(F.concat_ws("|", *t.customer.columns).alias("value"))
+    data = t.customer.select(F.to_csv(F.struct("*"), {"sep": "|"}).alias("value"))
     comments = t.nation.select(F.concat(F.lit("# nation "), "n_name").alias("value"))
     data.union(comments).write.text(path)
     return files.delimited(t.spark, path, SCHEMAS["customer"], sep="|", comments=True)
@@ -254,7 +254,7 @@ def message_rows(t):
 )
 def hadoop_input_format(t):
     path = new_folder(t.spark, "pairs")
-    t.documents.select(F.concat_ws("\t", "lang", "n_chars").alias("value")).write.text(path)
+    t.documents.select(F.to_csv(F.struct("lang", "n_chars"), {"sep": "\t"}).alias("value")).write.text(path)
     pairs = files.hadoop_pairs(
         t.spark,
         path,
@@ -262,10 +262,8 @@ def hadoop_input_format(t):
         "org.apache.hadoop.io.LongWritable",
         "org.apache.hadoop.io.Text",
     )
-    parts = F.split("v", "\t")
-    return pairs.groupBy(parts[0].alias("lang")).agg(
-        F.count("*").alias("n"), F.sum(parts[1].cast("bigint")).alias("chars")
-    )
+    rows = pairs.select(F.from_csv("v", "lang STRING, n_chars BIGINT", {"sep": "\t"}).alias("r"))
+    return rows.groupBy("r.lang").agg(F.count("*").alias("n"), F.sum("r.n_chars").alias("chars"))
 
 
 @query(
@@ -332,6 +330,27 @@ def like_table(t):
     return t.spark.table(f"{db}.twin").groupBy("s_nationkey").agg(F.count("*").alias("n"))
 
 
+@query(
+    "SRC-21",
+    "catalog_listing",
+    """SELECT kind, name, (SELECT count(*) FROM nation) AS n FROM (VALUES ('FUNCTION', 'listed_double'),
+         ('TABLE', 'listed_nation'), ('TABLE', 'listed_view'), ('VIEW', 'listed_view')) AS v(kind, name)""",
+)
+def catalog_listing(t):
+    db, sql = dml.work_database(t.spark), t.spark.sql
+    t.nation.write.mode("overwrite").saveAsTable(f"{db}.listed_nation")
+    sql(f"CREATE OR REPLACE VIEW {db}.listed_view AS SELECT * FROM {db}.listed_nation")
+    sql("CREATE OR REPLACE TEMPORARY FUNCTION listed_double(x INT) RETURNS INT RETURN 2 * x")
+    shown = {
+        "TABLE": sql(f"SHOW TABLES IN {db} LIKE 'listed_*'").select("tableName"),
+        "VIEW": sql(f"SHOW VIEWS IN {db} LIKE 'listed_*'").select("viewName"),
+        "FUNCTION": sql("SHOW USER FUNCTIONS LIKE 'listed_*'").select(F.substring_index("function", ".", -1)),
+    }
+    named = [rows.toDF("name").select(F.lit(kind).alias("kind"), "name") for kind, rows in shown.items()]
+    size = t.spark.table(f"{db}.listed_view").agg(F.count("*").alias("n"))
+    return named[0].union(named[1]).union(named[2]).crossJoin(F.broadcast(size))
+
+
 @query(
     "SRC-21",
     "show_partitions",
@@ -538,22 +557,17 @@ def full_changelog(t):
     return C.to_changelog(versions, ["user_id"], ["event_id"], ["event_type"])
 
 
-class _GenerateN:
-    """Rows 0 .. n-1 for a number of rows."""
-
-    def eval(self, n: int):
-        for i in range(n or 0):
-            yield (i,)
-
-
 @query(
     "SNK-14",
     "call_procedure",
     """SELECT i AS k, count(*) AS n FROM (SELECT unnest(range(0, l_linenumber)) AS i FROM lineitem) GROUP BY i""",
 )
 def call_procedure(t):
-    generate_n = F.udtf(_GenerateN, returnType="k BIGINT")
-    t.spark.udtf.register("millrace_generate_n", generate_n)
+    # A procedure is a SQL table function: called with an argument, it returns a table.
+    t.spark.sql(
+        """CREATE OR REPLACE TEMPORARY FUNCTION millrace_generate_n(n INT) RETURNS TABLE (k BIGINT)
+           RETURN SELECT explode(CASE WHEN n > 0 THEN sequence(0L, n - 1L) END) AS k"""
+    )
     return t.spark.sql(
         """SELECT g.k, count(*) AS n FROM {lines} AS l, LATERAL millrace_generate_n(l.l_linenumber) AS g
            GROUP BY g.k""",

@@ -5,7 +5,7 @@ A job that has a bounded twin is checked against the twin's SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import scalar as S
@@ -22,19 +22,24 @@ from millrace.sources import files
 from millrace.streaming import processors as K
 from millrace.streaming import transforms as W
 from millrace.streaming.late import split_late
-from millrace.streaming.replay import STREAM_SCHEMA, event_stream, end_row, replay, slice_number, write_slice
+from millrace.streaming.replay import (
+    event_stream,
+    real_rows,
+    replay,
+    slice_stream,
+    stage,
+    write_end,
+    write_slices,
+)
 from millrace.streaming.runner import (
     batch_writer,
     read_batches,
     run_append,
     run_batches,
     run_upserts,
-    watermarks,
+    watch_watermarks,
 )
 
-REAL = "user_id >= 0"  # everything but the end-of-input marker
-
-
 def sql_of(name: str) -> str:
     return REGISTRY[name].sql
 
@@ -87,7 +92,7 @@ def dynamic_session_window_stream(t):
 )
 def processing_time_window(t):
     # Windows of the machine's clock; what is stable is their total per key.
-    stamped = event_stream(t, delay=None).where(REAL).withColumn("seen", F.current_timestamp())
+    stamped = event_stream(t, delay=None).withColumn("seen", F.current_timestamp())
     per_window = stamped.groupBy("user_id", F.window("seen", "10 seconds").alias("w")).agg(
         F.count("*").alias("n"), F.sum(units("value")).alias("cents")
     )
@@ -105,20 +110,19 @@ def processing_time_window(t):
 )
 def count_trigger(t):
     fired = K.apply(event_stream(t), "user_id", K.CountTrigger(5, purge=False), K.CountTrigger.schema)
-    return run_append(fired, "count-trigger").where(REAL).select("user_id", "window_no", "cents")
+    return run_append(fired, "count-trigger").select("user_id", "window_no", "cents")
 
 
 @query("WIN-10", "count_window_tumbling_stream", sql_of("win_10_count_window_tumbling"))
 def count_window_tumbling_stream(t):
     fired = K.apply(event_stream(t), "user_id", K.CountTrigger(5, purge=True), K.CountTrigger.schema)
-    return run_append(fired, "count-window").where(REAL)
+    return run_append(fired, "count-window")
 
 
 @query("STR-09", "early_results", event_time.TUMBLE_SQL)
 def early_results(t):
     # Open windows report after every micro-batch; the newest report wins.
-    rows = run_upserts(W.tumbling(event_stream(t)), "early", ["user_id", "window_start"])
-    return rows.where(REAL)
+    return run_upserts(W.tumbling(event_stream(t)), "early", ["user_id", "window_start"])
 
 
 _LATE = """event_id % 50 = 0 AND CAST(floor((epoch_us(ts) - lo) * 4 / (hi - lo + 1)) AS INTEGER) = 1"""
@@ -132,7 +136,6 @@ _LATE = """event_id % 50 = 0 AND CAST(floor((epoch_us(ts) - lo) * 4 / (hi - lo +
 )
 def late_side_output(t):
     main, late = split_late(event_stream(t, "disordered", None), "ts", 3600, "late")
-    main, late = main.where(REAL), late.where(REAL)
     return main.select("event_id", F.lit("main").alias("output")).union(
         late.select("event_id", F.lit("late"))
     )
@@ -156,16 +159,16 @@ def late_rows_dropped(t):
 @query(
     "STR-11",
     "keyed_state_kinds",
-    """WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS back FROM events),
+    """WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC) AS back FROM events),
          c AS (SELECT user_id, string_agg(event_type || '=' || CAST(n AS VARCHAR), ',' ORDER BY event_type) AS counts
                FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1)
        SELECT r.user_id, count(*) AS n, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY back DESC) FILTER (WHERE back <= 3) AS last_ids,
               any_value(counts) AS counts, max(value) AS top, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
-       FROM r JOIN c ON r.user_id = c.user_id GROUP BY r.user_id""",
+       FROM r JOIN c ON r.user_id IS NOT DISTINCT FROM c.user_id GROUP BY r.user_id""",
 )
 def keyed_state_kinds(t):
     stream = K.apply(event_stream(t), "user_id", K.StateKinds(), K.StateKinds.schema)
-    reports = run_append(stream, "state-kinds").where(REAL)
+    reports = run_append(stream, "state-kinds")
     return keep_one(reports, ["user_id"], ["n"], latest=True)
 
 
@@ -179,7 +182,7 @@ def keyed_state_kinds(t):
 )
 def state_ttl(t):
     ttl = K.EventTimeTtlSum(12 * 3600 * 1_000_000)
-    return run_append(K.apply(event_stream(t), "user_id", ttl, ttl.schema), "ttl").where(REAL)
+    return run_append(K.apply(event_stream(t), "user_id", ttl, ttl.schema), "ttl")
 
 
 @query(
@@ -191,7 +194,7 @@ def state_ttl(t):
 )
 def timers(t):
     stream = K.apply(event_stream(t), "user_id", K.Silence(43_200_000), K.Silence.schema, "EventTime")
-    return run_append(stream, "timers").where(REAL)
+    return run_append(stream, "timers")
 
 
 @query(
@@ -203,7 +206,7 @@ def timers(t):
 )
 def process_function(t):
     stream = K.apply(event_stream(t), "user_id", K.Previous(), K.Previous.schema)
-    return run_append(stream, "process").where(REAL)
+    return run_append(stream, "process")
 
 
 @query(
@@ -251,7 +254,7 @@ def broadcast_rules(t):
             hit.select("event_id", "event_type", (units("value") - F.col("floor_cents")).alias("above")), batch_id
         )
 
-    run_batches(event_stream(t, delay=None).where(REAL), "rules-run", handle)
+    run_batches(event_stream(t, delay=None), "rules-run", handle)
     return t.spark.read.schema("event_id BIGINT, event_type STRING, above BIGINT").parquet(out).drop("batch_id")
 
 
@@ -263,13 +266,13 @@ def running_sum_with_ttl(t):
     summed = K.RunningSum(ttl_ms=86_400_000)
     stream = K.apply(event_stream(t), "user_id", summed, summed.schema, "ProcessingTime")
     settings = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
-    return run_append(stream, "sum-ttl", settings=settings).where(REAL)
+    return run_append(stream, "sum-ttl", settings=settings)
 
 
 @query("AGG-28", "running_keyed_sum_stream", sql_of("agg_28_running_keyed_sum"))
 def running_keyed_sum_stream(t):
     summed = K.RunningSum()
-    return run_append(K.apply(event_stream(t), "user_id", summed, summed.schema), "running-sum").where(REAL)
+    return run_append(K.apply(event_stream(t), "user_id", summed, summed.schema), "running-sum")
 
 
 @query(
@@ -295,18 +298,19 @@ def restart_from_checkpoint(t):
     # The first run ends after half the input; the second resumes its
     # checkpoint.  Together they must equal one uninterrupted run.
     source, work = new_folder(t.spark, "restart-in"), new_folder(t.spark, "restart")
-    rows, no = t.events.withColumn("ts", F.col("ts").cast("timestamp")), slice_number(t.events, 2)
+    slices = stage(t)
+    half = slices.count // 2
 
-    def stream():
-        return t.spark.readStream.schema(STREAM_SCHEMA).parquet(source).withWatermark("ts", "10 minutes")
+    def run():
+        rows = real_rows(slice_stream(t.spark, source), "10 minutes")
+        return run_append(W.tumbling(rows), "restart", folder=work)
 
-    files_each = replay(t).files_per_slice
-    write_slice(rows.where(no == 0), source, files_each)
-    run_append(W.tumbling(stream()), "restart", folder=work)
-    write_slice(rows.where(no == 1), source, files_each)
-    run_append(W.tumbling(stream()), "restart", folder=work)
-    write_slice(end_row(t.spark), source, 1)
-    return run_append(W.tumbling(stream()), "restart", folder=work)
+    write_slices(slices, range(half), source)
+    run()
+    write_slices(slices, range(half, slices.count), source)
+    run()
+    write_end(t.spark, slices, source)
+    return run()
 
 
 @query("STR-20", "state_schema_evolution", sql_of("agg_28_running_keyed_sum"))
@@ -314,13 +318,14 @@ def state_schema_evolution(t):
     # Half the input runs with the first program, the rest with an upgraded one
     # whose state has one more field, on the same checkpoint.
     source, work = new_folder(t.spark, "upgrade-in"), new_folder(t.spark, "upgrade")
-    rows, no = t.events.withColumn("ts", F.col("ts").cast("timestamp")), slice_number(t.events, 2)
+    slices = stage(t)
+    half = slices.count // 2
     settings = {"spark.sql.streaming.stateStore.encodingFormat": "avro"}
-    for half, program in enumerate([K.RunningSum(), K.CountedSum()]):
-        write_slice(rows.where(no == half), source, replay(t).files_per_slice)
-        stream = t.spark.readStream.schema(STREAM_SCHEMA).parquet(source)
+    for numbers, program in ((range(half), K.RunningSum()), (range(half, slices.count), K.CountedSum())):
+        write_slices(slices, numbers, source)
+        rows = real_rows(slice_stream(t.spark, source), None)
         summed = run_append(
-            K.apply(stream, "user_id", program, program.schema), "upgrade", folder=work, settings=settings
+            K.apply(rows, "user_id", program, program.schema), "upgrade", folder=work, settings=settings
         )
     return summed
 
@@ -330,7 +335,7 @@ def cdc_merge_stream(t):
     # Changes are appended as they come and merged with the snapshot on read.
     snapshot, _ = W.cdc_inputs(t.events)
     late_half = F.col("ts") >= F.lit(W.CDC_CUT).cast("timestamp")
-    changes = W.cdc_rows(event_stream(t, delay=None).where(F.expr(REAL) & late_half)).drop("ts")
+    changes = W.cdc_rows(event_stream(t, delay=None).where(late_half)).drop("ts")
     out = new_folder(t.spark, "cdc")
     run_batches(changes, "cdc-run", batch_writer(out))
     logged = read_batches(t.spark, out, changes).drop("batch_id")
@@ -340,7 +345,7 @@ def cdc_merge_stream(t):
 @query("STR-22", "strict_pattern_stream", sql_of("str_22_strict_pattern"))
 def strict_pattern_stream(t):
     pattern = K.StrictSequence(["view", "click", "purchase"], 86_400_000_000)
-    return run_append(K.apply(event_stream(t), "user_id", pattern, pattern.schema), "pattern").where(REAL)
+    return run_append(K.apply(event_stream(t), "user_id", pattern, pattern.schema), "pattern")
 
 
 @query("STR-23", "state_machine_stream", event_time.MACHINE_SQL)
@@ -349,15 +354,28 @@ def state_machine_stream(t):
     legal = F.lit(False)
     for before, following in event_time.ALLOWED.items():
         legal |= (F.col("previous_state") == before) & F.col("event_type").isin(*following)
-    illegal = seen.where(F.col("previous_state").isNotNull() & ~legal & F.expr(REAL))
+    illegal = seen.where(F.col("previous_state").isNotNull() & ~legal)
     return run_append(illegal.select("event_id", "user_id", "previous_state", "event_type"), "machine")
 
 
-@query("STR-25", "watermark_progress")
+@query(
+    "STR-25",
+    "watermark_progress",
+    """SELECT TRUE AS never_fell,
+              (3 * epoch_us(max(ts)) - 2 * epoch_us(min(ts))) // 1000 + 34560000000 - 600000 AS last_ms
+       FROM events""",
+)
 def watermark_progress(t):
-    out = new_folder(t.spark, "progress")
-    done = run_batches(W.tumbling(event_stream(t)), "progress-run", batch_writer(out))
-    return t.spark.createDataFrame(watermarks(done), "batch_id BIGINT, watermark STRING")
+    # Every progress report of the run, however many there are, goes to a table;
+    # the clock never falls and ends ten minutes behind the end of the input.
+    reports = watch_watermarks(W.tumbling(event_stream(t)), "progress-run")
+    at = F.unix_millis(F.to_timestamp("watermark"))
+    earlier = F.max("ms").over(Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1))
+    steps = reports.select("batch_id", at.alias("ms")).withColumn("earlier", earlier)
+    return steps.agg(
+        F.bool_and(F.coalesce(F.col("ms") >= F.col("earlier"), F.lit(True))).alias("never_fell"),
+        F.max("ms").alias("last_ms"),
+    )
 
 
 @query(
@@ -369,9 +387,10 @@ def watermark_progress(t):
 def idle_input(t):
     # The purchase input falls silent at the end (it has no end marker); with
     # the "max" policy it does not hold the clock back.
-    stream = event_stream(t, delay=None)
-    others = stream.where("event_type <> 'purchase'").withWatermark("ts", "10 minutes")
-    buys = stream.where("event_type = 'purchase'").withWatermark("ts", "10 minutes")
+    purchase = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
+    source = slice_stream(t.spark, replay(t).folder)
+    others = real_rows(source.where(~purchase | F.col("is_end")), "10 minutes")
+    buys = real_rows(source.where(purchase & ~F.col("is_end")), "10 minutes")
     hourly = (
         others.union(buys)
         .groupBy(F.window("ts", "1 hour").alias("w"))
@@ -384,28 +403,29 @@ def idle_input(t):
 @query(
     "STR-28",
     "buffering_sink",
-    """SELECT event_id, CASE WHEN rn <= c // 50 * 50 THEN 'size' WHEN b = 7 THEN 'end' ELSE 'timer' END AS flushed_by
-       FROM (SELECT event_id, event_id % 8 AS b, row_number() OVER (PARTITION BY event_id % 8 ORDER BY ts, event_id) AS rn,
+    """SELECT event_id, CASE WHEN rn <= c // 50 * 50 THEN 'size' ELSE 'timer' END AS flushed_by
+       FROM (SELECT event_id, row_number() OVER (PARTITION BY event_id % 8 ORDER BY ts, event_id) AS rn,
                     count(*) OVER (PARTITION BY event_id % 8) AS c FROM events)""",
 )
 def buffering_sink(t):
     bucketed = event_stream(t).withColumn("bucket", F.pmod(F.col("event_id"), F.lit(8)))
-    sink = K.BufferingSink(50, 40 * 86_400_000)
+    # A buffer may wait as long as the whole input lasts; the end of it lets all go.
+    sink = K.BufferingSink(50, replay(t).span_millis + 86_400_000)
     return run_append(K.apply(bucketed, "bucket", sink, sink.schema, "EventTime"), "buffering")
 
 
 @query("UDF-08", "map_view_counts_stream", sql_of("udf_08_map_view_counts"))
 def map_view_counts_stream(t):
     stream = K.apply(event_stream(t), "user_id", K.StateKinds(), K.StateKinds.schema)
-    reports = run_append(stream, "map-view").where(REAL)
+    reports = run_append(stream, "map-view")
     return keep_one(reports, ["user_id"], ["n"], latest=True).select("user_id", "counts")
 
 
 @query("AGG-17", "select_distinct_stream", "SELECT DISTINCT user_id, event_type FROM events")
 def select_distinct_stream(t):
-    stream = event_stream(t, delay="400 days").select("user_id", "event_type", "ts")
-    distinct = stream.dropDuplicatesWithinWatermark(["user_id", "event_type"])
-    return run_append(distinct, "distinct").where(REAL).select("user_id", "event_type")
+    # No expiry: a pair seen once is known for good, so the state grows with the pairs.
+    pairs = event_stream(t, delay=None).select("user_id", "event_type")
+    return run_append(pairs.dropDuplicates(["user_id", "event_type"]), "distinct")
 
 
 @query(
@@ -416,20 +436,20 @@ def select_distinct_stream(t):
 )
 def dedup_keep_first_stream(t):
     firsts = K.apply(event_stream(t), "user_id", K.KeepFirst(), K.KeepFirst.schema)
-    return run_append(firsts, "keep-first").where(REAL)
+    return run_append(firsts, "keep-first")
 
 
 @query("WIN-01", "dedup_keep_last_stream", sql_of("win_01_dedup_keep_last"))
 def dedup_keep_last_stream(t):
-    stream = event_stream(t, delay=None).where(REAL)
+    stream = event_stream(t, delay=None)
     rest = F.struct("event_id", "ts", "value", "props")
     newest = stream.groupBy("user_id", "event_type").agg(F.max_by(rest, F.struct("ts", "event_id")).alias("row"))
     rows = run_upserts(newest, "keep-last", ["user_id", "event_type"])
     return rows.select("user_id", "event_type", "row.*").withColumn("ts", W.plain(F.col("ts")))
 
 
-def _side(stream: DataFrame, kind: str, prefix: str) -> DataFrame:
-    return stream.where((F.col("event_type") == kind) | ~F.expr(REAL)).select(
+def _side(t, kind: str, prefix: str) -> DataFrame:
+    return event_stream(t, only=F.col("event_type") == kind).select(
         F.col("event_id").alias(f"{prefix}_id"),
         F.col("ts").alias(f"{prefix}_ts"),
         F.col("user_id").alias(f"{prefix}_user"),
@@ -439,24 +459,20 @@ def _side(stream: DataFrame, kind: str, prefix: str) -> DataFrame:
 
 @query("JON-22", "interval_join_stream", sql_of("jon_22_interval_join"))
 def interval_join_stream(t):
-    stream = event_stream(t)
-    clicks, buys = _side(stream, "click", "click"), _side(stream, "purchase", "buy")
+    clicks, buys = _side(t, "click", "click"), _side(t, "purchase", "buy")
     joined = clicks.join(
         buys,
         (F.col("click_user") == F.col("buy_user"))
         & (F.col("buy_ts") >= F.col("click_ts"))
         & (F.col("buy_ts") <= F.col("click_ts") + F.expr("interval 1 hour")),
     )
-    rows = run_append(joined.select(F.col("buy_user").alias("user_id"), "click_id", "buy_id"), "interval-join")
-    return rows.where(REAL)
+    return run_append(joined.select(F.col("buy_user").alias("user_id"), "click_id", "buy_id"), "interval-join")
 
 
 @query("JON-23", "window_join_stream", sql_of("jon_23_window_join"))
 def window_join_stream(t):
-    stream = event_stream(t)
-
     def side(kind: str, *aggs):
-        rows = stream.where((F.col("event_type") == kind) | ~F.expr(REAL))
+        rows = event_stream(t, only=F.col("event_type") == kind)
         return rows.groupBy("user_id", F.window("ts", "1 hour").alias("w")).agg(*aggs)
 
     views = side("view", F.count("*").alias("views"))
@@ -467,13 +483,13 @@ def window_join_stream(t):
         (F.col("views") * F.col("buys")).alias("pairs"),
         ((F.col("spent") * F.col("views")).cast("double") / 100).alias("pair_value"),
     )
-    return run_append(pairs, "window-join").where(REAL)
+    return run_append(pairs, "window-join")
 
 
 @query("JON-25", "lookup_enrichment_stream", sql_of("jon_25_lookup_enrichment"))
 def lookup_enrichment_stream(t):
-    stream = event_stream(t, delay=None).where(REAL).select("event_id", "user_id")
-    return run_append(J.enrich_batches(stream, "user_id", joins._tier_of, "tier", "string"), "lookup")
+    # The dimension is read again for every micro-batch.
+    return run_append(joins.with_customer(event_stream(t, delay=None), t.customer), "lookup")
 
 
 @query(
@@ -482,7 +498,7 @@ def lookup_enrichment_stream(t):
     "SELECT n_name, count(*) AS n FROM events JOIN nation ON user_id % 25 = n_nationkey GROUP BY n_name",
 )
 def broadcast_side_stream(t):
-    stream = event_stream(t, delay=None).where(REAL).select((F.col("user_id") % 25).alias("k"))
+    stream = event_stream(t, delay=None).select((F.col("user_id") % 25).alias("k"))
     joined = stream.join(small_side(t.nation), F.col("k") == F.col("n_nationkey")).select("n_name")
     return run_append(joined, "broadcast").groupBy("n_name").agg(F.count("*").alias("n"))
 
@@ -494,8 +510,8 @@ def broadcast_side_stream(t):
 )
 def regular_stream_join(t):
     # No watermark: every past row may still match and the state only grows.
-    left = event_stream(t, delay=None).where(REAL).select("event_id", "event_type")
-    right = event_stream(t, "disordered", None).where(REAL).select(F.col("event_id").alias("rid"), "value")
+    left = event_stream(t, delay=None).select("event_id", "event_type")
+    right = event_stream(t, "disordered", None).select(F.col("event_id").alias("rid"), "value")
     joined = left.join(right, F.col("event_id") == F.col("rid")).drop("rid")
     return run_append(joined, "regular-join")
 
@@ -524,7 +540,7 @@ def log_payload_decode(t):
         F.struct(F.col("event_type").alias("type")).alias("event"),
     )
     payload = F.when(F.col("event_id") % 97 == 0, F.lit("{broken")).otherwise(F.to_json(row))
-    log = event_stream(t, delay=None).where(REAL).select(F.encode(payload, "UTF-8").alias("value"))
+    log = event_stream(t, delay=None).select(F.encode(payload, "UTF-8").alias("value"))
     schema = "id BIGINT, usr BIGINT, event STRUCT<type: STRING>"
     decoded = log.select(F.from_json(F.decode("value", "UTF-8"), schema).alias("r"))
     rows = run_append(decoded.select("r.id", "r.usr", F.col("r.event.type").alias("kind")), "log-json")
@@ -537,8 +553,8 @@ def log_payload_decode(t):
     "SELECT event_id AS id, user_id AS usr, event_type AS kind FROM events",
 )
 def log_csv_decode(t):
-    text = F.concat_ws(",", "event_id", "user_id", "event_type")
-    log = event_stream(t, delay=None).where(REAL).select(F.encode(text, "UTF-8").alias("value"))
+    text = F.to_csv(F.struct("event_id", "user_id", "event_type"))
+    log = event_stream(t, delay=None).select(F.encode(text, "UTF-8").alias("value"))
     decoded = log.select(F.from_csv(F.decode("value", "UTF-8"), "id BIGINT, usr BIGINT, kind STRING").alias("r"))
     return run_append(decoded.select("r.*"), "log-csv")
 
@@ -551,11 +567,8 @@ def hybrid_source(t):
     out = new_folder(t.spark, "hybrid")
     history = t.events.where(F.col("ts") < F.lit(switch).cast("timestamp_ntz")).select("event_id", "user_id")
     batch_writer(out)(history, -1)
-    live = (
-        event_stream(t, delay=None)
-        .where(F.expr(REAL) & (F.col("ts") >= F.lit(switch).cast("timestamp")))
-        .select("event_id", "user_id")
-    )
+    before = F.coalesce(F.col("ts") < F.lit(switch).cast("timestamp"), F.lit(False))
+    live = event_stream(t, delay=None).where(~before).select("event_id", "user_id")
     run_batches(live, "hybrid-run", batch_writer(out))
     return read_batches(t.spark, out, live).drop("batch_id")
 
@@ -566,7 +579,7 @@ def hybrid_source(t):
     "SELECT event_id, event_type, value FROM events",
 )
 def rolling_files(t):
-    rows = event_stream(t, delay=None).where(REAL).select("event_id", "event_type", "value")
+    rows = event_stream(t, delay=None).select("event_id", "event_type", "value")
     return run_append(rows, "rolling", fmt="csv", options={"maxRecordsPerFile": "1000000"})
 
 
@@ -581,7 +594,7 @@ def exactly_once(t):
         write(rows, batch_id)
         write(rows, batch_id)
 
-    stream = event_stream(t, delay=None).where(REAL).select("event_id", "user_id", "value")
+    stream = event_stream(t, delay=None).select("event_id", "user_id", "value")
     run_batches(stream, "once", twice, folder=work)
     run_batches(stream, "once", twice, folder=work)
     return read_batches(t.spark, out, stream).drop("batch_id")
@@ -595,7 +608,6 @@ def exactly_once(t):
 def upsert_stream(t):
     totals = (
         event_stream(t, delay=None)
-        .where(REAL)
         .groupBy("user_id")
         .agg(F.count("*").alias("n"), F.sum(units("value")).alias("cents"))
     )
@@ -619,7 +631,7 @@ def side_outputs_stream(t):
         # One write per batch; the tag is the output's folder.
         split.tagged.write.mode("overwrite").partitionBy("__tag").parquet(f"{base}/batch_id={batch_id}")
 
-    stream = event_stream(t, delay=None).where(REAL).select("event_id", "event_type", "value")
+    stream = event_stream(t, delay=None).select("event_id", "event_type", "value")
     run_batches(stream, "sides-run", route)
     rows = t.spark.read.schema("event_id BIGINT, __tag STRING, batch_id BIGINT").parquet(base)
     return rows.select("event_id", F.col("__tag").alias("output"))
@@ -631,5 +643,5 @@ def side_outputs_stream(t):
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
 )
 def json_value_stream(t):
-    rows = event_stream(t, delay=None).where(REAL)
+    rows = event_stream(t, delay=None)
     return run_append(rows.select("event_id", S.json_value(F.col("props"), "$.k", "int").alias("k")), "json")

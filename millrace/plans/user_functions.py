@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.exact import units
 from millrace.operators import aggregates as A
-from millrace.operators.distribution import executed_plan
+from millrace.operators.distribution import explained
 from millrace.operators.ordered import By, top_n
 from millrace.plans.registry import query
 from millrace.sources.sinks import discard
@@ -78,7 +78,7 @@ class _NameWords:
          UNION ALL SELECT split_part(p_name, ' ', 2), 1 FROM part) GROUP BY word, pos""",
 )
 def table_function(t):
-    words = F.udtf(_NameWords, returnType="word STRING, pos INT")
+    words = F.udtf(_NameWords, returnType="word STRING, pos INT", useArrow=True)
     return (
         t.part.lateralJoin(words(F.col("p_name").outer()))
         .groupBy("word", "pos")
@@ -210,22 +210,29 @@ def rows_and_back(t):
     return mapped.groupBy("slot", "label").agg(F.count("*").alias("n"))
 
 
-@query("UDF-12", "explain_lines")
-def explain_lines(t):
-    # The query runs first (one row per flag), so the lines are the final plan
-    # after adaptive re-planning on the sizes it met.
+@query(
+    "UDF-12",
+    "explain_details",
+    """SELECT 'exchanges' AS detail, CAST(1 AS BIGINT) AS n UNION ALL SELECT 'partial_sums', 1
+       UNION ALL SELECT 'size_estimates', 1 UNION ALL SELECT 'output_rows', count(DISTINCT l_returnflag) FROM lineitem""",
+)
+def explain_details(t):
+    # Facts of the plan by explain mode, next to what the query returns.
     totals = t.lineitem.groupBy("l_returnflag").agg(F.sum("l_quantity").alias("q"))
-    totals.collect()
-    lines = [(i, line) for i, line in enumerate(executed_plan(totals).splitlines())]
-    return t.spark.createDataFrame(lines, "line_no INT, line STRING")
+    plan, costs = explained(totals, "simple"), explained(totals, "cost")
+    facts = [
+        ("exchanges", plan.count("Exchange hashpartitioning")),
+        ("partial_sums", plan.count("partial_sum")),
+        ("size_estimates", int("sizeInBytes=" in costs)),
+    ]
+    rows = t.spark.createDataFrame(facts, "detail STRING, n BIGINT")
+    return rows.union(totals.agg(F.lit("output_rows"), F.count("*")))
 
 
 def _with_dictionary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     codes = {kind: i for i, kind in enumerate(["click", "error", "purchase", "signup", "view"])}
-    handled = 0
     for pdf in batches:
-        handled += len(pdf)
-        yield pd.DataFrame({"event_id": pdf["event_id"], "code": pdf["event_type"].map(codes).astype("int32")})
+        yield pd.DataFrame({"event_id": pdf["event_id"], "code": pdf["event_type"].map(codes).astype("Int32")})
 
 
 @query(

@@ -21,7 +21,7 @@ def shared_base(spark: SparkSession) -> str:
     if base:
         return base.rstrip("/")
     sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(
             "set spark.checkpoint.dir to a folder all executors can reach"
         )

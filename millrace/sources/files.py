@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+TEXT_INPUT_FORMAT = "org.apache.hadoop.mapreduce.lib.input.TextInputFormat"
+
 
 def delimited(
     spark: SparkSession, path: str, schema: str, sep: str = ",", comments: bool = False
@@ -46,6 +48,13 @@ def only_visible(df: DataFrame) -> DataFrame:
 
 
 def hadoop_pairs(spark: SparkSession, path: str, input_format: str, key: str, value: str) -> DataFrame:
-    """Any Hadoop input format as a two-column table of text."""
+    """Any Hadoop input format as a table of text values, ``v``.
+
+    Spark's own reader covers the text format without leaving the JVM.  Another
+    format has no DataFrame source, so its values come as an RDD of pairs with a
+    declared schema.
+    """
+    if input_format == TEXT_INPUT_FORMAT:
+        return lines(spark, path).withColumnRenamed("value", "v")
     pairs = spark.sparkContext.newAPIHadoopFile(path, input_format, key, value)
-    return pairs.toDF(["k", "v"])
+    return spark.createDataFrame(pairs.map(lambda kv: (str(kv[1]),)), "v STRING")

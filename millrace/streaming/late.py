@@ -29,7 +29,9 @@ def split_late(stream: DataFrame, time: str, delay_seconds: int, label: str) ->
         late = (
             F.lit(False)
             if bound is None
-            else F.col(time) < F.lit(bound) - F.expr(f"interval {delay_seconds} seconds")
+            else F.coalesce(  # a row without a time is never late
+                F.col(time) < F.lit(bound) - F.expr(f"interval {delay_seconds} seconds"), F.lit(False)
+            )
         )
         batch_writer(f"{base}/rows")(rows.withColumn("late", late), batch_id)
         rows.agg(F.max(time).alias("top")).write.mode("overwrite").parquet(f"{base}/clock/batch_id={batch_id}")

@@ -1,8 +1,8 @@
 """Keyed stateful processors for ``transformWithStateInPandas``.
 
 A processor sees the rows of one key of one micro-batch.  Rows are put in
-``(ts, event_id)`` order first; the source's rate limit bounds a micro-batch
-and with it what a key can bring at once, while the state kept between batches
+``(ts, event_id)`` order first, those without a time last; the source's slices bound
+a micro-batch and with it what a key can bring at once, while the state kept between batches
 is a few fixed-size values unless the docstring says otherwise.
 """
 
@@ -14,9 +14,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_FAR = 4_000_000_000_000  # milliseconds; the end marker's time is beyond this
-
-
 def apply(df: DataFrame, key: str, processor: StatefulProcessor, schema: str, time: str = "None") -> DataFrame:
     """Run a processor per key in append mode."""
     return df.groupBy(key).transformWithStateInPandas(
@@ -30,11 +27,23 @@ def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 
 def cents(value: pd.Series) -> pd.Series:
-    return (value * 100).round().astype("int64")
+    """Whole cents; a missing value stays missing."""
+    return (value * 100).round().astype("Int64")
+
+
+def micros(ts: pd.Series) -> pd.Series:
+    """Microseconds; a missing time stays missing."""
+    return ts.astype("datetime64[us]").astype("int64").astype("Int64").where(ts.notna())
 
 
-def _ms(ts: pd.Timestamp) -> int:
-    return int(ts.value // 1_000_000)
+def running_total(amount: pd.Series, base: int | None) -> pd.Series:
+    """Sum so far, missing values skipped; missing until there is a first value."""
+    known = amount.notna().cumsum() > (0 if base is None else -1)
+    return (amount.fillna(0).cumsum() + (base or 0)).where(known)
+
+
+def _plain(value):
+    return None if value is None or pd.isna(value) else int(value)
 
 
 class RunningSum(StatefulProcessor):
@@ -53,9 +62,9 @@ class RunningSum(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = in_order(rows)
-        base = self.total.get()[0] if self.total.exists() else 0
-        sums = cents(pdf["value"]).cumsum() + base
-        self.total.update((int(sums.iloc[-1]),))
+        base = self.total.get()[0] if self.total.exists() else None
+        sums = running_total(cents(pdf["value"]), base)
+        self.total.update((_plain(sums.iloc[-1]),))
         yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0], "running_cents": sums})
 
     def close(self) -> None:
@@ -75,9 +84,9 @@ class CountedSum(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = in_order(rows)
-        base, n = self.total.get() if self.total.exists() else (0, 0)
-        sums = cents(pdf["value"]).cumsum() + base
-        self.total.update((int(sums.iloc[-1]), (n or 0) + len(pdf)))
+        base, n = self.total.get() if self.total.exists() else (None, 0)
+        sums = running_total(cents(pdf["value"]), base)
+        self.total.update((_plain(sums.iloc[-1]), (n or 0) + len(pdf)))
         yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0], "running_cents": sums})
 
     def close(self) -> None:
@@ -97,15 +106,17 @@ class EventTimeTtlSum(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = in_order(rows)
-        now = pdf["ts"].astype("datetime64[us]").astype("int64")
-        amount = cents(pdf["value"])
-        total, last = self.state.get() if self.state.exists() else (0, None)
+        now = micros(pdf["ts"])
+        total, last = self.state.get() if self.state.exists() else (None, None)
         gap = now.diff()
-        expired = gap >= self.ttl
-        expired.iloc[0] = last is None or int(now.iloc[0]) - last >= self.ttl
-        epoch = expired.cumsum()
-        sums = amount.groupby(epoch).cumsum() + (epoch == 0) * total
-        self.state.update((int(sums.iloc[-1]), int(now.iloc[-1])))
+        if last is not None:
+            gap.iloc[0] = now.iloc[0] - last
+        epoch = (gap >= self.ttl).fillna(False).astype("int64").cumsum()
+        amount = cents(pdf["value"])
+        bases = [total if e == 0 else None for e in epoch.unique()]
+        parts = [running_total(amount[epoch == e], b) for e, b in zip(epoch.unique(), bases)]
+        sums = pd.concat(parts)
+        self.state.update((_plain(sums.iloc[-1]), _plain(now.iloc[-1])))
         yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0], "running_cents": sums})
 
     def close(self) -> None:
@@ -132,7 +143,7 @@ class CountTrigger(StatefulProcessor):
         seen, held, first = self.state.get() if self.state.exists() else (0, 0, None)
         at = pd.Series(range(seen, seen + len(pdf)))
         window = at // self.n
-        amount = cents(pdf["value"])
+        amount = cents(pdf["value"]).fillna(0).astype("int64")
         if self.purge:
             open_window = seen // self.n
             sums = amount.groupby(window).cumsum() + (window == open_window) * held
@@ -174,14 +185,14 @@ class Previous(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = in_order(rows)
-        at = pdf["ts"].astype("datetime64[us]").astype("int64")
+        at = micros(pdf["ts"])
         kind, ident, when = self.last.get() if self.last.exists() else (None, None, None)
-        previous_at = at.astype("Int64").shift(1)
+        previous_at = at.shift(1)
         previous_id = pdf["event_id"].astype("Int64").shift(1)
         previous_kind = pdf["event_type"].shift(1)
-        if kind is not None:
+        if ident is not None:
             previous_at.iloc[0], previous_id.iloc[0], previous_kind.iloc[0] = when, ident, kind
-        self.last.update((pdf["event_type"].iloc[-1], int(pdf["event_id"].iloc[-1]), int(at.iloc[-1])))
+        self.last.update((pdf["event_type"].iloc[-1], int(pdf["event_id"].iloc[-1]), _plain(at.iloc[-1])))
         yield pd.DataFrame(
             {
                 "event_id": pdf["event_id"],
@@ -189,7 +200,7 @@ class Previous(StatefulProcessor):
                 "event_type": pdf["event_type"],
                 "previous_state": previous_kind,
                 "previous_id": previous_id,
-                "waited_us": at.astype("Int64") - previous_at,
+                "waited_us": at - previous_at,
             }
         )
 
@@ -215,18 +226,21 @@ class Silence(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = in_order(rows)
-        at = pdf["ts"].astype("datetime64[us]").astype("int64") // 1000
-        ids, times = pdf["event_id"].tolist(), at.tolist()
+        at = micros(pdf["ts"]) // 1000
+        ids, times = pdf["event_id"].tolist(), [_plain(x) for x in at]
         if self.last.exists():
             ident, when, reported = self.last.get()
             if not reported:
-                self.handle.deleteTimer(when + self.limit)
+                if when is not None:
+                    self.handle.deleteTimer(when + self.limit)
                 ids, times = [ident, *ids], [when, *times]
-        silent = [i for i, a, b in zip(ids, times, times[1:]) if b - a > self.limit]
-        self.last.update((ids[-1], times[-1], False))
-        if times[-1] < _FAR:
+        silent = [i for i, a, b in zip(ids, times, times[1:]) if a is None or b is None or b - a > self.limit]
+        self.last.update((ids[-1], times[-1], times[-1] is None))
+        if times[-1] is None:  # without a time there is nothing to wait for
+            silent.append(ids[-1])
+        else:
             self.handle.registerTimer(times[-1] + self.limit)
-        yield pd.DataFrame({"user_id": pd.Series([key[0]] * len(silent), dtype="int64"), "event_id": silent})
+        yield pd.DataFrame({"user_id": pd.Series([key[0]] * len(silent), dtype="Int64"), "event_id": silent})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         ident, when, _ = self.last.get()
@@ -276,17 +290,18 @@ class StrictSequence(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = in_order(rows)
-        at = pdf["ts"].astype("datetime64[us]").astype("int64")
+        at = micros(pdf["ts"])
         n = len(self.kinds)
         held = [tuple(r) for r in self.tail.get()] if self.tail.exists() else []
         seen = pd.DataFrame(
             held + list(zip(pdf["event_type"], pdf["event_id"], at)), columns=["kind", "id", "at"]
         )
-        found = seen["at"] - seen["at"].shift(n - 1) <= self.within
+        seen["at"] = seen["at"].astype("Int64")
+        found = (seen["at"] - seen["at"].shift(n - 1) <= self.within).fillna(False).astype(bool)
         for back, kind in enumerate(reversed(self.kinds)):
             found &= seen["kind"].shift(back) == kind
         keep = seen.tail(n - 1)
-        self.tail.put([(k, int(i), int(a)) for k, i, a in keep.itertuples(index=False)])
+        self.tail.put([(k, int(i), _plain(a)) for k, i, a in keep.itertuples(index=False)])
         ids = [seen["id"].shift(n - 1 - i)[found].astype("int64") for i in range(n)]
         yield pd.DataFrame({"user_id": key[0], **{f"event_id_{i + 1}": v for i, v in enumerate(ids)}})
 
@@ -300,13 +315,15 @@ class KeepFirst(StatefulProcessor):
     schema = "event_id BIGINT, user_id BIGINT, event_type STRING"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "kind STRING", "id BIGINT")
+        self.seen = handle.getMapState("seen", "known BOOLEAN, kind STRING", "id BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
         firsts = in_order(rows).drop_duplicates("event_type")
-        fresh = firsts[[not self.seen.containsKey((k,)) for k in firsts["event_type"]]]
-        for kind, ident in zip(fresh["event_type"], fresh["event_id"]):
-            self.seen.updateValue((kind,), (int(ident),))
+        kinds = [(isinstance(k, str), k if isinstance(k, str) else "") for k in firsts["event_type"]]
+        new = [not self.seen.containsKey(k) for k in kinds]
+        fresh = firsts[new]
+        for kind, ident in zip([k for k, n in zip(kinds, new) if n], fresh["event_id"]):
+            self.seen.updateValue(kind, (int(ident),))
         yield pd.DataFrame(
             {"event_id": fresh["event_id"], "user_id": key[0], "event_type": fresh["event_type"]}
         )
@@ -335,19 +352,19 @@ class StateKinds(StatefulProcessor):
 
     @staticmethod
     def _fold(state, value, fold):
-        """Reducing and aggregating state: a value state plus a fold; None clears it."""
-        merged = fold(state.get()[0], value) if state.exists() else value
-        if merged is None:
-            state.clear()
-        else:
+        """Reducing and aggregating state: a value state plus a fold; None adds nothing."""
+        held = state.get()[0] if state.exists() else None
+        merged = value if held is None else held if value is None else fold(held, value)
+        if merged is not None:
             state.update((merged,))
         return merged
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = in_order(rows)
         n = self._fold(self.n, len(pdf), lambda a, b: a + b)
-        top = self._fold(self.top, float(pdf["value"].max()), max)
-        total = self._fold(self.cents, int(cents(pdf["value"]).sum()), lambda a, b: a + b)
+        known = pdf["value"].dropna()
+        top = self._fold(self.top, float(known.max()) if len(known) else None, max)
+        total = self._fold(self.cents, int(cents(known).sum()) if len(known) else None, lambda a, b: a + b)
         held = [r[0] for r in self.ids.get()] if self.ids.exists() else []
         ids = (held + pdf["event_id"].tolist())[-3:]
         self.ids.put([(int(i),) for i in ids])
@@ -388,8 +405,8 @@ class BufferingSink(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = in_order(rows)
-        latest = _ms(pdf["ts"].iloc[-1])
-        pdf = pdf[pdf["event_id"] >= 0]
+        times = pdf["ts"].dropna()
+        latest = int(times.iloc[-1].value // 1_000_000) if len(times) else timerValues.getCurrentWatermarkInMs()
         held = [r[0] for r in self.held.get()] if self.held.exists() else []
         ids = held + pdf["event_id"].tolist()
         full = len(ids) // self.size * self.size
@@ -401,12 +418,9 @@ class BufferingSink(StatefulProcessor):
         if self.timer.exists():
             self.handle.deleteTimer(self.timer.get()[0])
             self.timer.clear()
-        if rest and latest < _FAR:
+        if rest:
             self.handle.registerTimer(latest + self.idle)
             self.timer.update((latest + self.idle,))
-        elif rest:
-            self.held.clear()
-            yield pd.DataFrame({"event_id": rest, "flushed_by": "end"})
         yield pd.DataFrame({"event_id": pd.Series(ids[:full], dtype="int64"), "flushed_by": "size"})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):

@@ -1,9 +1,15 @@
 """Replay a bounded event table as an ordered stream of files.
 
-The whole table is written once, in time slices, to the shared folder; a file
-stream then reads one slice per micro-batch.  A last slice holds a single row
-far in the future (negative ids): it stands for the end of a bounded input,
-where the event clock moves past every window and timer.
+The whole table is staged once by time slice and then written slice by slice, one
+file each, to the shared folder; a file stream reads one slice per micro-batch.
+A slice has at most about ``SLICE_BYTES`` of the input, so that bounds what one
+key can bring at once, however large the table is.  Rows without a time come
+with the last slice, after all others.
+
+A last file holds one row with ``is_end`` set, later than every time, window and
+timer of the data: it moves the event clock past them, as the end of a bounded
+input does.  It passes the watermark and nothing else; no real row is told by its
+ids or times.
 """
 
 from __future__ import annotations
@@ -11,85 +17,117 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.scratch import new_folder
 from millrace.sizing import estimated_bytes
-from millrace.tables import Tables
+from millrace.tables import SCHEMAS, Tables
 
-STREAM_SCHEMA = (
-    "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-)
-END_TIME = "2100-01-01 00:00:00"
-_FILE_BYTES = 128 * 1024 * 1024
+EVENT_SCHEMA = SCHEMAS["events"].replace("TIMESTAMP_NTZ", "TIMESTAMP")
+STREAM_SCHEMA = f"{EVENT_SCHEMA}, is_end BOOLEAN"
+SLICE_BYTES = 128 * 1024 * 1024
+_END_MARGIN_MICROS = 400 * 86_400 * 1_000_000  # beyond the data's own span, for delays and gaps
 
 
 @dataclass(frozen=True)
-class Replay:
-    """Where the slices are and how many files make one slice."""
+class Slices:
+    """A table staged by slice number, and the time it covers."""
+
+    staged: DataFrame
+    count: int
+    span_micros: int
+    end_micros: int
+
 
+@dataclass(frozen=True)
+class Replay:
     folder: str
-    files_per_slice: int
+    span_millis: int
 
 
 _KEPT: dict[tuple[str, str, str], Replay] = {}
 
 
-def slice_number(events: DataFrame, slices: int):
-    """Equal time slices 0 .. slices-1 of a table, as a column."""
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    lo, hi = events.agg(F.min(micros), F.max(micros)).first()
-    return F.floor((micros - lo) * slices / (hi - lo + 1)).cast("int")
+def end_micros(lo: int | None, hi: int | None) -> int:
+    """The time of the end row: twice the span after the last row, and a margin."""
+    return 0 if lo is None else hi + 2 * (hi - lo) + _END_MARGIN_MICROS
+
 
+def stage(t: Tables, kind: str = "ordered") -> Slices:
+    """Write ``events`` once, partitioned by slice.
 
-def end_row(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(-1).cast("bigint").alias("event_id"),
-        F.lit(END_TIME).cast("timestamp").alias("ts"),
-        F.lit(-1).cast("bigint").alias("user_id"),
-        F.lit("end").alias("event_type"),
-        F.lit(0.0).alias("value"),
-        F.lit("{}").alias("props"),
+    ``kind="disordered"`` moves every fiftieth row of the second quarter of the
+    time to the last slice, where it arrives late; nothing is left out.
+    """
+    events = t.events.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("is_end", F.lit(False))
+    micros = F.unix_micros("ts")
+    lo, hi = events.agg(F.min(micros), F.max(micros)).first()
+    wanted = math.ceil(estimated_bytes(t.events) / SLICE_BYTES)
+    n = max(2, wanted) if kind == "ordered" else 4 * max(1, math.ceil(wanted / 4))
+    first, width = lo or 0, (hi - lo + 1) if lo is not None else 1
+    no = F.coalesce(F.floor((micros - first).cast("double") * n / width).cast("int"), F.lit(n - 1))
+    if kind == "disordered":
+        no = F.when((F.floor(no / (n // 4)) == 1) & (F.col("event_id") % 50 == 0), n - 1).otherwise(no)
+    folder = new_folder(t.spark, f"staged-{kind}")
+    events.withColumn("slice", no).write.partitionBy("slice").parquet(folder)
+    staged = t.spark.read.schema(f"{STREAM_SCHEMA}, slice INT").parquet(folder)
+    return Slices(staged, n, width - 1, end_micros(lo, hi))
+
+
+def write_slices(slices: Slices, numbers: range, folder: str) -> None:
+    """Append slices one after another, so that their files sort by age."""
+    for i in numbers:
+        rows = slices.staged.where(F.col("slice") == i).drop("slice")
+        rows.repartition(1).write.mode("append").parquet(folder)
+
+
+def write_end(spark: SparkSession, slices: Slices, folder: str) -> None:
+    row = spark.range(1).select(
+        F.lit(None).cast("bigint").alias("event_id"),
+        F.timestamp_micros(F.lit(slices.end_micros)).alias("ts"),
+        F.lit(None).cast("bigint").alias("user_id"),
+        F.lit(None).cast("string").alias("event_type"),
+        F.lit(None).cast("double").alias("value"),
+        F.lit(None).cast("string").alias("props"),
+        F.lit(True).alias("is_end"),
     )
+    row.repartition(1).write.mode("append").parquet(folder)
 
 
-def write_slice(rows: DataFrame, folder: str, files: int) -> None:
-    """Append one slice; slices are written one after another, so their files sort by age."""
-    rows.repartition(files).write.mode("append").parquet(folder)
+def replay(t: Tables, kind: str = "ordered") -> Replay:
+    """Slices of ``events``, written once per session and reused by every job."""
+    known = (t.spark.sparkContext.applicationId, t.folder, kind)
+    if known not in _KEPT:
+        slices = stage(t, kind)
+        folder = new_folder(t.spark, f"replay-{kind}")
+        write_slices(slices, range(slices.count), folder)
+        write_end(t.spark, slices, folder)
+        _KEPT[known] = Replay(folder, slices.span_micros // 1000)
+    return _KEPT[known]
 
 
-def replay(t: Tables, kind: str = "ordered") -> Replay:
-    """Slices of ``events``, written once per session and reused by every job.
+def slice_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The files of a replay folder, one slice per micro-batch, end row included."""
+    return spark.readStream.schema(STREAM_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
 
-    ``kind="disordered"`` moves every fiftieth row of the second slice to the
-    last one, where it arrives late; nothing is left out.
-    """
-    spark = t.spark
-    slices = 2 if kind == "ordered" else 4
-    known = (spark.sparkContext.applicationId, t.folder, kind)
-    if known in _KEPT:
-        return _KEPT[known]
-    events = t.events
-    files = max(1, math.ceil(estimated_bytes(events) / slices / _FILE_BYTES))
-    no = slice_number(events, slices)
-    if kind == "disordered":
-        no = F.when((no == 1) & (F.col("event_id") % 50 == 0), slices - 1).otherwise(no)
-    rows = events.withColumn("ts", F.col("ts").cast("timestamp"))
-    folder = new_folder(spark, f"replay-{kind}")
-    for i in range(slices):
-        write_slice(rows.where(no == i), folder, files)
-    write_slice(end_row(spark), folder, 1)
-    _KEPT[known] = Replay(folder, files)
-    return _KEPT[known]
 
+def real_rows(stream: DataFrame, delay: str | None) -> DataFrame:
+    """Rows of the table, after the end row has passed the watermark.
 
-def event_stream(t: Tables, kind: str = "ordered", delay: str | None = "10 minutes") -> DataFrame:
-    """The replayed events as a stream, one slice per micro-batch."""
-    r = replay(t, kind)
-    stream = (
-        t.spark.readStream.schema(STREAM_SCHEMA)
-        .option("maxFilesPerTrigger", r.files_per_slice)
-        .parquet(r.folder)
-    )
-    return stream.withWatermark("ts", delay) if delay else stream
+    The test compares the time column, so the optimizer cannot move it below the
+    watermark, where the end row would be gone before the clock sees it.
+    """
+    if delay is None:
+        return stream.where("NOT is_end").drop("is_end")
+    return stream.withWatermark("ts", delay).where("NOT (is_end AND ts > TIMESTAMP '0001-01-01 00:00:00')").drop("is_end")
+
+
+def event_stream(
+    t: Tables, kind: str = "ordered", delay: str | None = "10 minutes", only: Column | None = None
+) -> DataFrame:
+    """The replayed events as a stream; ``only`` keeps some rows and the end of the input."""
+    stream = slice_stream(t.spark, replay(t, kind).folder)
+    if only is not None:
+        stream = stream.where(only | F.col("is_end"))
+    return real_rows(stream, delay)

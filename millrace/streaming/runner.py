@@ -6,18 +6,16 @@ results are under the shared folder, so a restart on another executor resumes.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from millrace.scratch import new_folder
 from millrace.session import ROCKSDB_PROVIDER
-
-_TIMEOUT_SECONDS = 6 * 3600
-
-
 @contextmanager
 def stream_settings(spark: SparkSession, **extra: str) -> Iterator[None]:
     """Settings a query picks up when it starts, put back afterwards.
@@ -45,12 +43,6 @@ def stream_settings(spark: SparkSession, **extra: str) -> Iterator[None]:
                 spark.conf.set(k, v)
 
 
-def _finish(query) -> None:
-    if not query.awaitTermination(_TIMEOUT_SECONDS):
-        query.stop()
-        raise TimeoutError("the streaming query did not finish in time")
-
-
 def run_append(
     stream: DataFrame,
     label: str,
@@ -74,7 +66,7 @@ def run_append(
             .trigger(availableNow=True)
             .start(f"{base}/data")
         )
-        _finish(query)
+        query.awaitTermination()
     reader = spark.read.schema(stream.schema)
     return reader.format(fmt).options(**(options or {})).load(f"{base}/data")
 
@@ -98,7 +90,7 @@ def run_batches(
             .trigger(availableNow=True)
             .start()
         )
-        _finish(query)
+        query.awaitTermination()
     return query
 
 
@@ -133,6 +125,51 @@ def run_upserts(
     return keep_one(read_batches(spark, out, stream), keys, ["batch_id"], latest=True).drop("batch_id")
 
 
-def watermarks(query) -> list[tuple[int, str | None]]:
-    """(batch id, watermark) of every recorded progress report of a query."""
-    return [(p.batchId, (p.eventTime or {}).get("watermark")) for p in query.recentProgress]
+class _WatermarkReports(StreamingQueryListener):
+    """Keeps batch id and watermark of every progress report of one query by name."""
+
+    def __init__(self, name: str):
+        self.name, self.rows, self.run_id, self.over = name, [], None, threading.Event()
+
+    def onQueryStarted(self, event):
+        if event.name == self.name:
+            self.run_id = event.runId
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        if p.name == self.name:
+            self.rows.append((p.batchId, (p.eventTime or {}).get("watermark")))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        if event.runId == self.run_id:
+            self.over.set()
+
+
+def watch_watermarks(stream: DataFrame, label: str) -> DataFrame:
+    """Run to completion; (batch_id, watermark) of every progress report, in a table.
+
+    A query's own list of reports keeps the last hundred only.
+    """
+    spark, base = stream.sparkSession, new_folder(stream.sparkSession, label)
+    listener = _WatermarkReports(base.rsplit("/", 1)[-1])
+    spark.streams.addListener(listener)
+    try:
+        with stream_settings(spark):
+            query = (
+                stream.writeStream.foreachBatch(batch_writer(f"{base}/data"))
+                .queryName(listener.name)
+                .option("checkpointLocation", f"{base}/checkpoint")
+                .trigger(availableNow=True)
+                .start()
+            )
+            query.awaitTermination()
+        if not listener.over.wait(300):
+            raise RuntimeError("the end of the query was never reported")
+    finally:
+        spark.streams.removeListener(listener)
+    reports = f"{base}/reports"
+    spark.createDataFrame(listener.rows, "batch_id BIGINT, watermark STRING").write.parquet(reports)
+    return spark.read.schema("batch_id BIGINT, watermark STRING").parquet(reports)

@@ -83,6 +83,6 @@ def test_count_window_that_never_fills(spark):
         [(1, "hi"), (2, "hello"), (3, "hi"), (4, "hello"), (5, "hi"), (6, "hello"), (6, "hello")], "n INT, w STRING"
     ).withColumn("i", F.monotonically_increasing_id())
     got = (
-        O.count_windows(rows, ["w"], ["i"], 2).groupBy("w", "window_no").agg(F.sum("n").alias("s")).collect()
+        O.fired_windows(O.count_windows(rows, ["w"], ["i"], 2), ["w"], [F.sum("n").alias("s")], 2).collect()
     )
     assert sorted((r.w, r.window_no, r.s) for r in got) == [("hello", 0, 6), ("hello", 1, 12), ("hi", 0, 4)]

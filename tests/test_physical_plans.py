@@ -54,6 +54,11 @@ def test_pre_keyed_join_has_no_exchange(spark):
     assert "Exchange" not in D.executed_plan(joined)
 
 
+def test_count_windows_meet_no_other_rows_of_their_key(spark):
+    plan = D.executed_plan(REGISTRY["win_10_count_window_sliding"](spark, SMALL))
+    assert "Join" not in plan and "partial_count" in plan
+
+
 def test_custom_partitioner_places_rows(spark):
     df = D.partition_by_id(spark.range(100), F.col("id") % 3, 3)
     got = df.select(F.spark_partition_id().alias("p"), (F.col("id") % 3).alias("m")).distinct().collect()

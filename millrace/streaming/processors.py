@@ -12,15 +12,27 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 def apply(df: DataFrame, key: str, processor: StatefulProcessor, schema: str, time: str = "None") -> DataFrame:
-    """Run a processor per key in append mode."""
-    return df.groupBy(key).transformWithStateInPandas(
+    """Run a processor per key in append mode; rows without a key are a key of their own.
+
+    The worker takes rows of a missing key for one group each, so the key is made
+    whole and a flag tells whether it was missing.
+    """
+    whole = F.coalesce(F.col(key), F.lit(0).cast(df.schema[key].dataType))
+    flagged = df.withColumns({"__no_key": F.col(key).isNull(), key: whole})
+    return flagged.groupBy(key, "__no_key").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode=time
     )
 
 
+def key_of(key: tuple):
+    """The key as the rows had it."""
+    return None if key[1] else key[0]
+
+
 def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     pdf = pd.concat(list(rows), ignore_index=True)
     return pdf.sort_values(["ts", "event_id"], ignore_index=True)
@@ -65,7 +77,7 @@ class RunningSum(StatefulProcessor):
         base = self.total.get()[0] if self.total.exists() else None
         sums = running_total(cents(pdf["value"]), base)
         self.total.update((_plain(sums.iloc[-1]),))
-        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0], "running_cents": sums})
+        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key_of(key), "running_cents": sums})
 
     def close(self) -> None:
         pass
@@ -87,7 +99,7 @@ class CountedSum(StatefulProcessor):
         base, n = self.total.get() if self.total.exists() else (None, 0)
         sums = running_total(cents(pdf["value"]), base)
         self.total.update((_plain(sums.iloc[-1]), (n or 0) + len(pdf)))
-        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0], "running_cents": sums})
+        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key_of(key), "running_cents": sums})
 
     def close(self) -> None:
         pass
@@ -117,7 +129,7 @@ class EventTimeTtlSum(StatefulProcessor):
         parts = [running_total(amount[epoch == e], b) for e, b in zip(epoch.unique(), bases)]
         sums = pd.concat(parts)
         self.state.update((_plain(sums.iloc[-1]), _plain(now.iloc[-1])))
-        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key[0], "running_cents": sums})
+        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key_of(key), "running_cents": sums})
 
     def close(self) -> None:
         pass
@@ -161,7 +173,7 @@ class CountTrigger(StatefulProcessor):
         )
         yield pd.DataFrame(
             {
-                "user_id": key[0],
+                "user_id": key_of(key),
                 "window_no": window[fired],
                 "cents": sums[fired],
                 "first_event": firsts[fired],
@@ -196,7 +208,7 @@ class Previous(StatefulProcessor):
         yield pd.DataFrame(
             {
                 "event_id": pdf["event_id"],
-                "user_id": key[0],
+                "user_id": key_of(key),
                 "event_type": pdf["event_type"],
                 "previous_state": previous_kind,
                 "previous_id": previous_id,
@@ -240,12 +252,12 @@ class Silence(StatefulProcessor):
             silent.append(ids[-1])
         else:
             self.handle.registerTimer(times[-1] + self.limit)
-        yield pd.DataFrame({"user_id": pd.Series([key[0]] * len(silent), dtype="Int64"), "event_id": silent})
+        yield pd.DataFrame({"user_id": pd.Series([key_of(key)] * len(silent), dtype="Int64"), "event_id": silent})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         ident, when, _ = self.last.get()
         self.last.update((ident, when, True))
-        yield pd.DataFrame({"user_id": [key[0]], "event_id": [ident]})
+        yield pd.DataFrame({"user_id": [key_of(key)], "event_id": [ident]})
 
     def close(self) -> None:
         pass
@@ -267,7 +279,7 @@ class ErrorsBetween(StatefulProcessor):
         errors = (~buys).astype("int64").groupby(block).cumsum() + (block == 0) * held
         self.open.update((0 if buys.iloc[-1] else int(errors.iloc[-1]),))
         yield pd.DataFrame(
-            {"event_id": pdf["event_id"][buys], "user_id": key[0], "errors_before": errors[buys]}
+            {"event_id": pdf["event_id"][buys], "user_id": key_of(key), "errors_before": errors[buys]}
         )
 
     def close(self) -> None:
@@ -303,7 +315,7 @@ class StrictSequence(StatefulProcessor):
         keep = seen.tail(n - 1)
         self.tail.put([(k, int(i), _plain(a)) for k, i, a in keep.itertuples(index=False)])
         ids = [seen["id"].shift(n - 1 - i)[found].astype("int64") for i in range(n)]
-        yield pd.DataFrame({"user_id": key[0], **{f"event_id_{i + 1}": v for i, v in enumerate(ids)}})
+        yield pd.DataFrame({"user_id": key_of(key), **{f"event_id_{i + 1}": v for i, v in enumerate(ids)}})
 
     def close(self) -> None:
         pass
@@ -325,7 +337,7 @@ class KeepFirst(StatefulProcessor):
         for kind, ident in zip([k for k, n in zip(kinds, new) if n], fresh["event_id"]):
             self.seen.updateValue(kind, (int(ident),))
         yield pd.DataFrame(
-            {"event_id": fresh["event_id"], "user_id": key[0], "event_type": fresh["event_type"]}
+            {"event_id": fresh["event_id"], "user_id": key_of(key), "event_type": fresh["event_type"]}
         )
 
     def close(self) -> None:
@@ -374,7 +386,7 @@ class StateKinds(StatefulProcessor):
         counts = sorted((k[0], v[0]) for k, v in self.counts.iterator())
         yield pd.DataFrame(
             {
-                "user_id": [key[0]],
+                "user_id": [key_of(key)],
                 "n": [n],
                 "last_ids": [",".join(map(str, ids))],
                 "counts": [",".join(f"{k}={c}" for k, c in counts)],

@@ -1,6 +1,5 @@
 """Every registered query against its SQL, and the inventory against the registry."""
 
-import os
 import re
 from pathlib import Path
 
@@ -16,17 +15,6 @@ from tests.conftest import SMALL
 UNREGISTERED = {"SRC-12", "SRC-22", "SNK-03"}
 
 STREAM_JOBS = {n for n, q in REGISTRY.items() if q.build.__module__.endswith("stream_jobs")}
-QUICK_STREAM_JOBS = {
-    "str_02_tumbling_window_stream",
-    "str_05_session_window_stream",
-    "str_10_late_side_output",
-    "str_13_timers",
-    "str_19_restart_from_checkpoint",
-    "snk_12_exactly_once",
-    "jon_22_interval_join_stream",
-    "win_10_count_window_tumbling_stream",
-}
-CHOSEN_STREAM_JOBS = STREAM_JOBS if os.environ.get("MILLRACE_ALL_STREAMS") else QUICK_STREAM_JOBS
 
 
 def _check(name, spark, duck):
@@ -43,7 +31,7 @@ def test_batch_query(name, spark, duck):
     _check(name, spark, duck)
 
 
-@pytest.mark.parametrize("name", sorted(CHOSEN_STREAM_JOBS))
+@pytest.mark.parametrize("name", sorted(STREAM_JOBS))
 def test_stream_job(name, spark, duck):
     _check(name, spark, duck)
 

@@ -29,6 +29,7 @@ from millrace.sizing import ONE_TASK_BYTES, estimated_bytes, fits_one_task, limi
 
 _CHUNK = "__chunk"
 _MIN_CHUNKS = 8
+_UNKNOWN_BYTES, _UNKNOWN_CHUNKS = 1 << 60, 16384  # Catalyst knows no size: many small chunks
 
 
 @dataclass(frozen=True)
@@ -116,7 +117,8 @@ def _add_chunks(df: DataFrame, leading: By) -> DataFrame:
         return df
     per_task = max(1, limit_bytes(df.sparkSession, ONE_TASK_BYTES))
     wanted = math.ceil(estimated_bytes(df) / per_task)
-    n = max(wanted, _MIN_CHUNKS)
+    known = estimated_bytes(df) < _UNKNOWN_BYTES
+    n = max(wanted if known else _UNKNOWN_CHUNKS, _MIN_CHUNKS)
     cuts = _constant_array([i / n for i in range(1, n)], "double")
     axis_type = df.select(axis).schema[0].dataType.simpleString()
     row = df.agg(F.percentile_approx(axis, cuts, max(1000, 4 * n)).alias("bounds")).first()

@@ -12,6 +12,7 @@ from millrace.llm.decontaminate import benchmark_hits
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.licenses import license_scan
 from millrace.llm.lm_scoring import lm_scores
+from millrace.llm.minhash_dedup import minhash_groups
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import quality_scores
 from millrace.llm.secrets import find_secrets
@@ -65,6 +66,10 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return benchmark_hits(t.documents, t.benchmark).drop("items")
 
 
+def op13_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_groups(Tables(spark, folder).documents)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -115,4 +121,26 @@ ORACLES: dict[str, str] = {
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op13_minhash_near_dedup": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, w[i + 1 : i + 3] AS shingle
+            FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 3, 0) + 1)) AS i FROM d WHERE len(w) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), common AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b USING (shingle)
+            WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT u, v FROM common JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+            WHERE 100 * c >= 85 * (x.n + y.n - c)
+        ), reach(u, v) AS (
+            SELECT doc_id, doc_id FROM d UNION SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.v
+        ), least AS (
+            SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM d LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)
+    """,
 }

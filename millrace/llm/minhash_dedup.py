@@ -81,7 +81,7 @@ def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(_word_hash) > KNOWN_WORDS:
         _word_hash.clear()
-    for w in set(words) - _word_hash.keys():
+    for w in set(words).difference(_word_hash):
         _word_hash[w] = xxhash.xxh64_intdigest(w, SEED)
     codes = np.fromiter(map(_word_hash.__getitem__, words), np.uint64, len(words))
     width = min(shingle, len(words))

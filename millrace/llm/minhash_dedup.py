@@ -162,10 +162,14 @@ def document_sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 # --- candidates ---------------------------------------------------------------
-def shared_buckets(rows: DataFrame) -> DataFrame:
+def index_entries(rows: DataFrame) -> DataFrame:
+    """(node, n, bands, sha): one entry per shingle set that is not empty, with one text that has it."""
+    held = rows.where("n > 0").groupBy("node")
+    return held.agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("sha").alias("sha"))
+
+
+def shared_buckets(entries: DataFrame) -> DataFrame:
     """(key, node, n, first, first_n): members of buckets that hold more than one set, and the least of them."""
-    entries = rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
-    entries = keep_table(entries, "minhash-entries")
     members = entries.select(F.explode("bands").alias("key"), "node", "n")
     low = members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("low"), F.max("node").alias("top"))
     low = keep_table(low.where("low.node < top").select("key", F.col("low.node").alias("first"), F.col("low.n").alias("first_n")), "minhash-shared")
@@ -298,8 +302,9 @@ def minhash_groups(
 ) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest reachable doc_id), kept."""
     rows = keep_table(document_sketches(docs, id_col, text_col), "minhash-sketches")
-    members = shared_buckets(rows)
-    wanted = rows.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("sha").alias("sha"))
+    entries = keep_table(index_entries(rows), "minhash-entries")
+    members = shared_buckets(entries)
+    wanted = entries.select("node", "sha").join(members.select("node").distinct(), "node", "left_semi")
     sets = keep_table(shingle_sets(docs, keep_table(wanted, "minhash-wanted"), text_col), "minhash-full-sets")
     links = keep_table(first_links(members, sets), "minhash-links")
     late = keep_table(late_links(open_buckets(members, star_roots(links)), sets, run_shingles), "minhash-late")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
+from millrace.llm.collocations import collocations
 from millrace.llm.decontaminate import benchmark_hits
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.licenses import license_scan
@@ -17,6 +18,7 @@ from millrace.llm.packing import pack_documents
 from millrace.llm.quality import quality_scores
 from millrace.llm.secrets import find_secrets
 from millrace.llm.simhash_dedup import simhash_groups
+from millrace.llm.spelling_variants import spelling_variants
 from millrace.llm.token_counts import token_counts
 from millrace.llm.token_files import read_token_files, write_token_files
 from millrace.tables import Tables
@@ -66,6 +68,14 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return benchmark_hits(t.documents, t.benchmark).drop("items")
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(Tables(spark, folder).documents)
+
+
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(Tables(spark, folder).documents)
+
+
 def op13_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_groups(Tables(spark, folder).documents)
 
@@ -81,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
@@ -143,4 +155,36 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM d LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)
     """,
+    "op12_phrase_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+        ), w AS (
+            SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+        ), f AS (
+            SELECT lang, k, w[i + 1 : i + k] AS p, count(*) AS f
+            FROM (SELECT lang, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM w, range(1, 5) AS ks(k) WHERE len(w) >= k)
+            GROUP BY 1, 2, 3
+        ), totals AS (
+            SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+        ), often AS (
+            SELECT * FROM f WHERE f >= 30
+        ), cuts AS (
+            SELECT c.lang, c.k, c.p, c.f AS a, cut, x.f AS l, y.f AS r,
+                   CAST((CAST(2000000 AS HUGEINT) * c.f) // (x.f + y.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM often WHERE k >= 2) c
+            JOIN f x ON x.lang = c.lang AND x.p = c.p[1 : cut] JOIN f y ON y.lang = c.lang AND y.p = c.p[cut + 1 : c.k]
+        ), low AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1
+        ), inside AS (
+            SELECT lang, p[i + 1 : i + size] AS p, max(f) AS f
+            FROM (SELECT *, unnest(range(0, k - size + 1)) AS i FROM (SELECT *, unnest(range(2, k)) AS size FROM often WHERE k >= 3))
+            GROUP BY 1, 2
+        ), kept AS (
+            SELECT low.*, array_to_string(low.p, ' ') AS phrase
+            FROM low LEFT JOIN inside ON inside.lang = low.lang AND inside.p = low.p
+            WHERE inside.f IS NULL OR CAST(inside.f AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+    """,
 }

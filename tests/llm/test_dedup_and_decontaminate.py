@@ -177,3 +177,9 @@ def test_empty_tables(spark, docs, benchmark):
     assert got.where("contaminated").count() == 0 and got.count() == docs.count()
     plan = got._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_hub_with_many_links_is_one_component(spark):
+    links = spark.range(1, 50001).selectExpr("id AS u", "0L AS v").unionAll(spark.range(60000, 60050).selectExpr("id + 1 AS u", "id AS v"))
+    roots = H.star_roots(links)
+    assert roots.groupBy("v").count().orderBy("v").collect() == [(0, 50000), (60000, 50)]

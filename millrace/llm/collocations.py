@@ -3,10 +3,11 @@
 A sample proposes: the phrases of up to ``LONGEST`` words that reach a lowered count in
 one text of ``SAMPLE_OF``.  A pass over all texts then counts, exactly, every word, every
 proposed phrase and the negative border: the phrases that are not proposed although their
-parts of one word less are.  A border phrase that turns out frequent joins the proposed
-ones, and another pass counts what thereby enters the border, until nothing does.  The
-result depends on the texts alone; the sample decides the number of passes.  The sample is
-mined by the same passes, begun with nothing proposed.
+parts of one word less are.  Border phrases that turn out frequent join the proposed
+ones, and an expansion pass counts what thereby enters the border.  It takes the newly
+entered phrases for held in turn, so what they could lead to is counted in the same pass
+and nothing is open after it.  The result depends on the texts alone; the sample decides
+how much is left to the second pass.
 
 The proposed phrases reach the workers as a bit table of fixed size (``TABLE_BITS``, two
 probes).  A phrase it holds by chance is counted although it need not be; no phrase is
@@ -38,7 +39,7 @@ SEED = 42
 LONGEST = 4
 LEAST_COUNT = 30
 SAMPLE_OF = 8  # one text of so many is in the sample
-SAMPLE_LEAST = 2  # lowered from LEAST_COUNT / SAMPLE_OF
+SAMPLE_LEAST = 3  # lowered from LEAST_COUNT / SAMPLE_OF
 TOP = 2000
 TABLE_BITS = 1 << 26
 HELD_WORDS = 1 << 20
@@ -80,14 +81,17 @@ def is_held(table: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _place_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        hashes = []
+        by_length: dict[int, list[list[int]]] = {}
         for lang, phrase in zip(b.column("lang").to_pylist(), b.column("phrase").to_pylist()):
             words = [word_hash(lang, w) for w in phrase.encode().split(b" ")]
-            h = np.array(words[:1], np.uint64)
-            for w in words[1:]:
-                h = longer_hash(h, np.array([w], np.uint64))
-            hashes.append(h[0])
-        at = np.concatenate(probes(np.array(hashes, np.uint64)))
+            by_length.setdefault(len(words), []).append(words)
+        hashes = [np.zeros(0, np.uint64)]
+        for words in (np.array(rows, np.uint64) for rows in by_length.values()):
+            h = words[:, 0]
+            for k in range(1, words.shape[1]):
+                h = longer_hash(h, words[:, k])
+            hashes.append(h)
+        at = np.concatenate(probes(np.concatenate(hashes)))
         mask = np.left_shift(np.uint64(1), (at & 63).astype(np.uint64)).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(mask)], ["slot", "mask"])
 
@@ -95,9 +99,9 @@ def _place_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def table_with(phrases: DataFrame, table: np.ndarray) -> np.ndarray:
     """``table`` with the bits of ``phrases`` (lang, phrase); at most ``TABLE_BITS`` / 64 rows reach the driver."""
     slots = phrases.select("lang", "phrase").mapInArrow(_place_batches, "slot BIGINT, mask BIGINT")
-    rows = slots.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toPandas()
+    rows = slots.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
     grown = table.copy()
-    grown[rows["slot"].to_numpy(np.int64)] |= rows["mask"].to_numpy(np.int64).view(np.uint64)
+    grown[rows["slot"].to_numpy()] |= rows["mask"].to_numpy().view(np.uint64)
     return grown
 
 
@@ -131,45 +135,62 @@ class _Block:
         self.ids.append(0)
 
 
-def _border(ids: np.ndarray, hashes: np.ndarray, table: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For 1 to ``LONGEST`` words: where a phrase is to be counted, and where it is held.
+def _border(
+    ids: np.ndarray, hashes: np.ndarray, table: np.ndarray, before: np.ndarray | None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 1 to ``LONGEST`` words: the places of phrases to be counted, and which of them ``table`` holds.
 
-    A phrase is counted where its first and its last part of one word less are held.
+    A phrase is counted where its first and its last part of one word less are held.  With
+    ``before``, phrases counted under that table already are left out, and those that are
+    new stand for held ones in turn: all longer phrases they could lead to come with them.
     """
-    out, h, held = [], hashes[ids], (is_held(table, hashes) & (np.arange(len(hashes)) > 0))[ids]
-    out.append((ids > 0, held))
+    words = np.arange(len(hashes)) > 0
+    held = (is_held(table, hashes) & words)[ids]
+    h = hashes[ids]
+    if before is None:
+        yield np.flatnonzero(ids), held[ids > 0]
+    else:
+        was = (is_held(before, hashes) & words)[ids]
+        yield np.zeros(0, np.int64), np.zeros(0, bool)
     for k in range(2, LONGEST + 1):
-        counted = held[:-1] & held[1:]
-        at = np.flatnonzero(counted)
+        at = np.flatnonzero(held[:-1] & held[1:])
         h = longer_hash(h[:-1], hashes[ids[k - 1 :]])
-        held = np.zeros(len(counted), bool)
-        held[at] = is_held(table, h[at])
-        out.append((counted, held))
-    return out
+        member = is_held(table, h[at])
+        held = np.zeros(len(h), bool)
+        held[at] = member
+        if before is None:
+            yield at, member
+            continue
+        old = was[:-1][at] & was[1:][at]
+        was = np.zeros(len(h), bool)
+        was[at[old]] = is_held(before, h[at[old]])
+        held[at[~old]] = True
+        yield at[~old], member[~old]
 
 
-def _counted(block: _Block, table: np.ndarray, before: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _counted(
+    block: _Block, table: np.ndarray, before: np.ndarray | None, only: int | None = None
+) -> Iterator[pa.RecordBatch]:
     ids = np.array(block.ids, np.int64)
     words = np.array([w.decode("utf-8", "surrogatepass") for w in block.words], object)
     langs = np.array(block.langs, object)
     hashes = np.fromiter(map(word_hash, block.langs, block.words), np.uint64, len(words))
-    now = _border(ids, hashes, table)
-    earlier = None if before is None else _border(ids, hashes, before)
-    number = ids
-    for k, (counted, held) in enumerate(now, 1):
-        at = np.flatnonzero(counted)
-        code = number[at] * len(words) + ids[at + k - 1]  # numbers of shorter phrases stay below the tokens
+    number = np.zeros(len(ids), np.int64)  # of the shorter phrase at a place
+    for k, (at, held) in enumerate(_border(ids, hashes, table, before), 1):
+        if before is None:  # the first part of a phrase was counted here too
+            code = number[at] * len(words) + ids[at + k - 1]
+        else:
+            code = ids[at]
+            for j in range(1, k):
+                code = np.unique(code, return_inverse=True)[1] * len(words) + ids[at + j]
         _, first, inverse, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        number = np.zeros(len(ids), np.int64)
         number[at] = inverse
-        place = at[first]
-        fresh = np.ones(len(place), bool) if earlier is None else ~earlier[k - 1][0][place]
-        if k == 1 and earlier is not None:
+        if only not in (None, k):
             continue
-        place, n = place[fresh], n[fresh]
+        place = at[first]
         phrases = list(map(" ".join, zip(*(words[ids[place + j]] for j in range(k)))))
-        yield _rows(langs[ids[place]], phrases, k, n, held[place])
-    if before is None:  # all words of a language, as a phrase of none
+        yield _rows(langs[ids[place]], phrases, k, n, held[first])
+    if before is None and only is None:  # all words of a language, as a phrase of none
         names, sums = np.unique(langs[ids[ids > 0]].astype(str), return_counts=True)
         yield _rows(names, [""] * len(names), 0, sums, np.ones(len(names), bool))
 
@@ -185,10 +206,11 @@ def _rows(langs, phrases: list[str], k: int, n: np.ndarray, held: np.ndarray) ->
     return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "k", "n", "held"])
 
 
-def count_pass(texts: DataFrame, table: np.ndarray, before: np.ndarray | None) -> DataFrame:
+def count_pass(texts: DataFrame, table: np.ndarray, before: np.ndarray | None, only: int | None = None) -> DataFrame:
     """(lang, phrase, k, n, held): exact counts of what ``table`` has counted and ``before`` had not.
 
-    The first pass (``before`` is None) also gives, with k = 0, the words of each language.
+    The first pass (``before`` is None) also gives, with k = 0, the words of each language;
+    with ``only``, phrases of so many words alone are given.
     """
     context = texts.sparkSession.sparkContext
     now = context.broadcast(table)
@@ -201,31 +223,39 @@ def count_pass(texts: DataFrame, table: np.ndarray, before: np.ndarray | None) -
             for lang, text in zip(b.column("lang"), b.column("text")):
                 block.add(lang.as_py(), text.as_py())
                 if len(block.ids) > HELD_WORDS:
-                    yield from _counted(block, now.value, old)
+                    yield from _counted(block, now.value, old, only)
                     block = _Block()
-        yield from _counted(block, now.value, old)
+        yield from _counted(block, now.value, old, only)
 
     rows = texts.mapInArrow(work, "lang STRING, phrase STRING, k INT, n BIGINT, held BOOLEAN")
     return rows.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"), F.first("held").alias("held"))
 
 
-def closed_counts(texts: DataFrame, proposed: DataFrame | None, least: int) -> DataFrame:
+def _often(texts: DataFrame, table: np.ndarray, before: np.ndarray | None, least: int, only: int | None = None) -> DataFrame:
+    counts = count_pass(texts, table, before, only).where((F.col("n") >= least) | (F.col("k") == 0))
+    return keep_table(counts, "phrase-counts")
+
+
+def mined_sample(sample: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase) of the sample's phrases of ``least`` occurrences, one length after another."""
+    table, found = no_phrases(), None
+    for k in range(1, LONGEST + 1):
+        longest = _often(sample, table, None, least, k).select("lang", "phrase")
+        found = longest if found is None else found.unionByName(longest)
+        table = table_with(longest, table)
+    return found
+
+
+def closed_counts(texts: DataFrame, proposed: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, k, n) of all phrases with at least ``least`` occurrences, and the k = 0 totals."""
-    table, before, found = no_phrases(), None, []
-    if proposed is not None:
-        table = table_with(proposed, table)
+    table, before, found = table_with(proposed, no_phrases()), None, None
     while True:
-        counts = count_pass(texts, table, before).where((F.col("n") >= least) | (F.col("k") == 0))
-        counts = keep_table(counts, "phrase-counts")
-        found.append(counts.drop("held"))
+        counts = _often(texts, table, before, least)
+        found = counts if found is None else found.unionByName(counts)
         failed = counts.where(~F.col("held") & F.col("k").between(1, LONGEST - 1))
-        if failed.isEmpty():
-            break
+        if before is not None or failed.isEmpty():  # a second pass has counted all that failures lead to
+            return found.drop("held")
         before, table = table, table_with(failed, table)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
 
 
 def frequent_phrases(
@@ -239,8 +269,7 @@ def frequent_phrases(
     )
     chosen = F.pmod(F.xxhash64("name", "text"), F.lit(SAMPLE_OF)) == 0
     sample = keep_table(texts.where(chosen).select("lang", "text"), "phrase-sample")
-    proposed = closed_counts(sample, None, SAMPLE_LEAST).where("k > 0")
-    return closed_counts(texts.select("lang", "text"), proposed, least)
+    return closed_counts(texts.select("lang", "text"), mined_sample(sample, SAMPLE_LEAST), least)
 
 
 # --- scores ---------------------------------------------------------------------

@@ -75,7 +75,7 @@ def test_border_failures_are_closed(spark, rows):
     texts = spark.createDataFrame([(l or "und", t or "") for l, t in rows], "lang STRING, text STRING")
     want = {(l, " ".join(p), n) for (l, p), n in brute_counts(rows)[0].items() if n >= 30}
     some = spark.createDataFrame([("en", "new"), ("en", "york"), ("en", "new york"), ("fr", "nowhere")], "lang STRING, phrase STRING")
-    for proposed in (None, some):
+    for proposed in (some.limit(0), some, C.mined_sample(texts.limit(50), 3)):
         got = [(r.lang, r.phrase, r.n) for r in C.closed_counts(texts, proposed, 30).where("k > 0").collect()]
         assert len(got) == len(set(got)) and set(got) == want
 
@@ -83,17 +83,21 @@ def test_border_failures_are_closed(spark, rows):
 def test_blocks_of_any_size_count_alike(rows):
     full = C.no_phrases() | ~C.no_phrases()  # every phrase is held
     sums = []
-    for size in (1, 40, len(rows)):
+    for size, proposed_first in ((1, False), (40, False), (len(rows), False), (40, True)):
         f = Counter()
         for at in range(0, len(rows), size):
             block = C._Block()
             for lang, text in rows[at : at + size]:
                 block.add(lang or "und", text or "")
-            for b in C._counted(block, full, None):
+            if not proposed_first:
+                parts = list(C._counted(block, full, None))
+            else:  # all but words are left to the second pass
+                parts = [*C._counted(block, C.no_phrases(), None), *C._counted(block, full, C.no_phrases())]
+            for b in parts:
                 for r in b.to_pylist():
                     f[r["lang"], r["phrase"], r["k"]] += r["n"]
         sums.append(f)
-    assert sums[0] == sums[1] == sums[2]
+    assert sums[0] == sums[1] == sums[2] == sums[3]
     brute, total = brute_counts(rows)
     assert {k: n for k, n in sums[0].items() if k[2]} == {(l, " ".join(p), len(p)): n for (l, p), n in brute.items()}
     assert {k[0]: n for k, n in sums[0].items() if not k[2]} == {l: n for l, n in total.items() if n}

@@ -14,6 +14,7 @@ from millrace.plans import (  # noqa: F401  (importing registers the queries)
     event_time,
     stream_jobs,
     stream_windows,
+    stream_sinks,
     tpch,
 )
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
+from millrace.functions.exact import units
 from millrace.plans import event_time
 from millrace.plans.registry import query
 from millrace.scratch import new_folder
+from millrace.streaming import matching as M
 from millrace.streaming import triggers as G
 from millrace.streaming import transforms as W
+from millrace.streaming import window_process as P
 from millrace.streaming.replay import event_stream
 from millrace.streaming.runner import run_append
 
@@ -74,3 +78,78 @@ def never_trigger(t):
     fired = run_append(G.K.apply(panes, "user_id", trigger, trigger.schema, "EventTime"), "never", folder=work)
     held = G.held_accumulators(t.spark, f"{work}/checkpoint")
     return held.select("user_id", "n", "cents", F.lit(fired.count()).cast("bigint").alias("fired"))
+
+
+_TOP = f"""count(*) AS n, coalesce({event_time.CENTS}, 0) AS cents,
+    arg_min(event_id, {{'v': -value, 'e': event_id}}) FILTER (WHERE value IS NOT NULL) AS top_event,
+    arg_min(event_id, {{'t': ts, 'e': event_id}}) AS first_event"""
+
+
+def _closes(rows):
+    return rows.withColumn("window_end", W.plain(F.timestamp_millis("closes_ms"))).drop("closes_ms")
+
+
+@query(
+    "STR-14",
+    "window_process_function",
+    f"""SELECT user_id, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, {_TOP}
+        FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""",
+)
+def window_process_function(t):
+    windows = P.process_windows(event_stream(t), "user_id", P.TopAndTotal(), 24 * HOUR_MS)
+    rows = _closes(run_append(windows, "window-process"))
+    return rows.withColumn("user_id", F.when(~F.col("no_key"), F.col("key"))).drop("key", "no_key")
+
+
+@query(
+    "STR-14",
+    "all_window_process_function",
+    f"""SELECT time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, {_TOP}
+        FROM events WHERE ts IS NOT NULL GROUP BY 1""",
+)
+def all_window_process_function(t):
+    return _closes(run_append(P.process_all_windows(event_stream(t), P.TopAndTotal(), 24 * HOUR_MS), "all-window"))
+
+
+def _alerts(rows: pd.DataFrame) -> pd.DataFrame:
+    errors = rows[rows["event_type"] == "error"][["event_id"]].assign(output="alert")
+    large = rows[rows["value"] > 100][["event_id"]]
+    return pd.concat([errors, large.assign(output="large"), large.assign(output="audit")])
+
+
+@query(
+    "STR-14",
+    "unkeyed_process_function",
+    """SELECT event_id, 'alert' AS output FROM events WHERE event_type = 'error'
+       UNION ALL SELECT event_id, unnest(['large', 'audit']) FROM events WHERE value > 100""",
+)
+def unkeyed_process_function(t):
+    # No row, one or several for each: errors, and large values twice.
+    return run_append(P.process_rows(event_stream(t, delay=None), _alerts, "event_id BIGINT, output STRING"), "unkeyed")
+
+
+SEQUENCE = ["signup", "click", "purchase"]
+
+
+@query("STR-22", "followed_by_stream", event_time.FOLLOWED_SQL.replace("FROM events WINDOW", "FROM events WHERE ts IS NOT NULL WINDOW"))
+def followed_by_stream(t):
+    conditions = [F.col("event_type") == k for k in SEQUENCE]
+    return run_append(M.followed_by(event_stream(t), conditions, 2 * 86400), "followed-by")
+
+
+_ROUGH = "(SELECT event_id, user_id, event_type, value, date_trunc('hour', ts) AS ts FROM events WHERE ts IS NOT NULL)"
+
+
+@query(
+    "STR-22",
+    "followed_by_comparator",
+    event_time.FOLLOWED_SQL.replace("FROM events WINDOW", f"FROM {_ROUGH} WINDOW")
+    .replace("ORDER BY ts, event_id", "ORDER BY ts, value DESC NULLS LAST, event_id")
+    .replace("SELECT user_id, ts, event_id,", "SELECT user_id, ts, value, event_id,"),
+)
+def followed_by_comparator(t):
+    # Times in full hours: within an hour the larger value comes first, then the smaller id.
+    rough = event_stream(t).withColumn("hour", F.date_trunc("hour", "ts"))
+    conditions = [F.col("event_type") == k for k in SEQUENCE]
+    found = M.followed_by(rough, conditions, 2 * 86400, -units("value"), F.col("hour"), 3600)
+    return run_append(found, "comparator")

@@ -305,9 +305,9 @@ def restart_from_checkpoint(t):
         rows = real_rows(slice_stream(t.spark, source), "10 minutes")
         return run_append(W.tumbling(rows), "restart", folder=work)
 
-    write_slices(slices, range(half), source)
+    write_slices(t.spark, slices, range(half), source)
     run()
-    write_slices(slices, range(half, slices.count), source)
+    write_slices(t.spark, slices, range(half, slices.count), source)
     run()
     write_end(t.spark, slices, source)
     return run()
@@ -322,7 +322,7 @@ def state_schema_evolution(t):
     half = slices.count // 2
     settings = {"spark.sql.streaming.stateStore.encodingFormat": "avro"}
     for numbers, program in ((range(half), K.RunningSum()), (range(half, slices.count), K.CountedSum())):
-        write_slices(slices, numbers, source)
+        write_slices(t.spark, slices, numbers, source)
         rows = real_rows(slice_stream(t.spark, source), None)
         summed = run_append(
             K.apply(rows, "user_id", program, program.schema), "upgrade", folder=work, settings=settings

@@ -17,13 +17,14 @@ from millrace.streaming.replay import event_stream
 from millrace.streaming.runner import run_append
 
 HOUR_MS = 3_600_000
+CENTS = f"coalesce({event_time.CENTS}, 0)"  # an accumulator starts at nothing
 
 
 @query(
     "STR-08",
     "event_time_trigger",
-    f"""SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS n, {event_time.CENTS} AS cents
-        FROM events GROUP BY 1, 2""",
+    f"""SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS n, {CENTS} AS cents
+        FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""",
 )
 def event_time_trigger(t):
     fired = run_append(G.triggered(event_stream(t), "event_time", HOUR_MS, HOUR_MS), "event-time-trigger")
@@ -31,7 +32,7 @@ def event_time_trigger(t):
 
 
 _PANES = f"""SELECT user_id, time_bucket(INTERVAL 6 HOUR, ts) AS w, time_bucket(INTERVAL 1 HOUR, ts) AS p,
-                    count(*) AS n, {event_time.CENTS} AS cents FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3"""
+                    count(*) AS n, {CENTS} AS cents FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3"""
 
 
 @query(
@@ -68,7 +69,7 @@ def purging_trigger(t):
 @query(
     "STR-08",
     "never_trigger",
-    f"SELECT user_id, count(*) AS n, {event_time.CENTS} AS cents, CAST(0 AS BIGINT) AS fired FROM events GROUP BY user_id",
+    f"SELECT user_id, count(*) AS n, {CENTS} AS cents, CAST(0 AS BIGINT) AS fired FROM events GROUP BY user_id",
 )
 def never_trigger(t):
     # The global window never reports; what it has gathered is read from the state store.
@@ -80,7 +81,7 @@ def never_trigger(t):
     return held.select("user_id", "n", "cents", F.lit(fired.count()).cast("bigint").alias("fired"))
 
 
-_TOP = f"""count(*) AS n, coalesce({event_time.CENTS}, 0) AS cents,
+_TOP = f"""count(*) AS n, {CENTS} AS cents,
     arg_min(event_id, {{'v': -value, 'e': event_id}}) FILTER (WHERE value IS NOT NULL) AS top_event,
     arg_min(event_id, {{'t': ts, 'e': event_id}}) AS first_event"""
 

@@ -1,10 +1,11 @@
 """Replay a bounded event table as an ordered stream of files.
 
-The whole table is staged once by time slice and then written slice by slice, one
-file each, to the shared folder; a file stream reads one slice per micro-batch.
-A slice has at most about ``SLICE_BYTES`` of the input, so that bounds what one
-key can bring at once, however large the table is.  Rows without a time come
-with the last slice, after all others.
+One range-partitioned write puts the whole table into slices of about equal size in
+(time, id) order, one file each; a file stream reads one slice per micro-batch, the
+oldest file first.  A slice has about ``SLICE_BYTES`` of the input whatever the times
+are: a burst, or many rows of one time, are cut by id, and rows without a time come last
+and are cut by id too.  So a slice bounds what one key can bring at once.  The files are
+put in place by renaming, with ages that follow the slices.
 
 A last file holds one row with ``is_end`` set, later than every time, window and
 timer of the data: it moves the event clock past them, as the end of a bounded
@@ -15,6 +16,7 @@ ids or times.
 from __future__ import annotations
 
 import math
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,9 +34,9 @@ _END_MARGIN_MICROS = 400 * 86_400 * 1_000_000  # beyond the data's own span, for
 
 @dataclass(frozen=True)
 class Slices:
-    """A table staged by slice number, and the time it covers."""
+    """A table staged in folders by slice number, and the time it covers."""
 
-    staged: DataFrame
+    folder: str
     count: int
     span_micros: int
     end_micros: int
@@ -63,23 +65,35 @@ def stage(t: Tables, kind: str = "ordered") -> Slices:
     events = t.events.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("is_end", F.lit(False))
     micros = F.unix_micros("ts")
     lo, hi = events.agg(F.min(micros), F.max(micros)).first()
-    wanted = math.ceil(estimated_bytes(t.events) / SLICE_BYTES)
-    n = max(2, wanted) if kind == "ordered" else 4 * max(1, math.ceil(wanted / 4))
-    first, width = lo or 0, (hi - lo + 1) if lo is not None else 1
-    no = F.coalesce(F.floor((micros - first).cast("double") * n / width).cast("int"), F.lit(n - 1))
+    n = max(2 if kind == "ordered" else 4, math.ceil(estimated_bytes(t.events) / SLICE_BYTES))
+    no = F.spark_partition_id()
     if kind == "disordered":
-        no = F.when((F.floor(no / (n // 4)) == 1) & (F.col("event_id") % 50 == 0), n - 1).otherwise(no)
+        first, width = lo or 0, (hi - lo + 1) if lo is not None else 1
+        quarter = F.floor((micros - first).cast("double") * 4 / width)
+        no = F.when((quarter == 1) & (F.col("event_id") % 50 == 0), n - 1).otherwise(no)
     folder = new_folder(t.spark, f"staged-{kind}")
-    events.withColumn("slice", no).write.partitionBy("slice").parquet(folder)
-    staged = t.spark.read.schema(f"{STREAM_SCHEMA}, slice INT").parquet(folder)
-    return Slices(staged, n, width - 1, end_micros(lo, hi))
+    cut = events.repartitionByRange(n, F.col("ts").isNull(), "ts", "event_id")
+    cut.withColumn("slice", no).write.partitionBy("slice").parquet(folder)
+    return Slices(folder, n, 0 if lo is None else hi - lo, end_micros(lo, hi))
 
 
-def write_slices(slices: Slices, numbers: range, folder: str) -> None:
-    """Append slices one after another, so that their files sort by age."""
+def write_slices(spark: SparkSession, slices: Slices, numbers: range, folder: str) -> None:
+    """Put slices in place one after another, so that their files sort by age."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop.Path(folder))
+    files = []
     for i in numbers:
-        rows = slices.staged.where(F.col("slice") == i).drop("slice")
-        rows.repartition(1).write.mode("append").parquet(folder)
+        place = hadoop.Path(f"{slices.folder}/slice={i}")
+        if system.exists(place):
+            found = (f.getPath() for f in system.listStatus(place))
+            files += sorted((p for p in found if p.getName().endswith(".parquet")), key=lambda p: p.getName())
+    now = time.time_ns() // 1_000_000
+    for age, source in enumerate(files):
+        target = hadoop.Path(f"{folder}/{source.getParent().getName()}-{source.getName()}".replace("slice=", "slice-"))
+        if not system.rename(source, target):
+            raise OSError(f"cannot move {source} to {target}")
+        system.setTimes(target, now - len(files) + age, -1)
 
 
 def write_end(spark: SparkSession, slices: Slices, folder: str) -> None:
@@ -101,7 +115,7 @@ def replay(t: Tables, kind: str = "ordered") -> Replay:
     if known not in _KEPT:
         slices = stage(t, kind)
         folder = new_folder(t.spark, f"replay-{kind}")
-        write_slices(slices, range(slices.count), folder)
+        write_slices(t.spark, slices, range(slices.count), folder)
         write_end(t.spark, slices, folder)
         _KEPT[known] = Replay(folder, slices.span_micros // 1000)
     return _KEPT[known]

@@ -37,6 +37,20 @@ KEEP_ALL = [
     "str_14_process_function",
     "str_28_buffering_sink",
     "udf_13_open_process_close",
+    "str_08_event_time_trigger",
+    "str_08_continuous_trigger",
+    "str_08_purging_trigger",
+    "str_08_never_trigger",
+    "str_14_window_process_function",
+    "str_14_all_window_process_function",
+    "str_14_unkeyed_process_function",
+    "str_22_followed_by_stream",
+    "str_22_followed_by_comparator",
+    "snk_12_commit_log_before_loss",
+    "snk_12_commit_log_after_loss",
+    "snk_12_at_least_once",
+    "snk_12_no_guarantee",
+    "snk_02_named_rolling_parts",
 ]
 
 

@@ -41,8 +41,9 @@ LEAST_COUNT = 30
 SAMPLE_OF = 8  # one text of so many is in the sample
 SAMPLE_LEAST = 3  # lowered from LEAST_COUNT / SAMPLE_OF
 TOP = 2000
+PARTS = 64  # of a language's phrases, ranked apart first
 TABLE_BITS = 1 << 26
-HELD_WORDS = 1 << 20
+HELD_WORDS = 1 << 21
 TOTAL_ROW_BYTES = 40
 BREAKS = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)  # all pieces end in the same mark
 
@@ -172,6 +173,7 @@ def _counted(
     block: _Block, table: np.ndarray, before: np.ndarray | None, only: int | None = None
 ) -> Iterator[pa.RecordBatch]:
     ids = np.array(block.ids, np.int64)
+    block.ids.clear()
     words = np.array([w.decode("utf-8", "surrogatepass") for w in block.words], object)
     langs = np.array(block.langs, object)
     hashes = np.fromiter(map(word_hash, block.langs, block.words), np.uint64, len(words))
@@ -228,7 +230,8 @@ def count_pass(texts: DataFrame, table: np.ndarray, before: np.ndarray | None, o
         yield from _counted(block, now.value, old, only)
 
     rows = texts.mapInArrow(work, "lang STRING, phrase STRING, k INT, n BIGINT, held BOOLEAN")
-    return rows.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"), F.first("held").alias("held"))
+    of_phrase = F.first(F.struct("k", "held")).alias("of")
+    return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), of_phrase).select("lang", "phrase", "of.k", "n", "of.held")
 
 
 def _often(texts: DataFrame, table: np.ndarray, before: np.ndarray | None, least: int, only: int | None = None) -> DataFrame:
@@ -311,8 +314,12 @@ def collocations(
     counted = keep_table(frequent_phrases(docs, id_col, text_col, lang_col, least), "phrases")
     phrases = counted.where("k > 0")
     kept = keep_table(not_inside(scored_phrases(phrases), phrases), "phrase-scores")
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    falling = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    # The first of each part bound what the last ranking of a language has to read.
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*falling)
+    firsts = kept.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    order = Window.partitionBy("lang").orderBy(*falling)
+    best = firsts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     totals = counted.where("k = 0").select("lang", "n")
     totals = if_small(totals, totals.count(), TOTAL_ROW_BYTES)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -43,7 +43,7 @@ SAMPLE_LEAST = 3  # lowered from LEAST_COUNT / SAMPLE_OF
 TOP = 2000
 PARTS = 64  # of a language's phrases, ranked apart first
 TABLE_BITS = 1 << 26
-HELD_WORDS = 1 << 21
+HELD_WORDS = 1 << 20
 TOTAL_ROW_BYTES = 40
 BREAKS = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)  # all pieces end in the same mark
 
@@ -230,8 +230,8 @@ def count_pass(texts: DataFrame, table: np.ndarray, before: np.ndarray | None, o
         yield from _counted(block, now.value, old, only)
 
     rows = texts.mapInArrow(work, "lang STRING, phrase STRING, k INT, n BIGINT, held BOOLEAN")
-    of_phrase = F.first(F.struct("k", "held")).alias("of")
-    return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), of_phrase).select("lang", "phrase", "of.k", "n", "of.held")
+    # A phrase has one k and one held; as plain numbers they leave Spark its hash aggregate.
+    return rows.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.sum("n").alias("n"), F.max("held").alias("held"))
 
 
 def _often(texts: DataFrame, table: np.ndarray, before: np.ndarray | None, least: int, only: int | None = None) -> DataFrame:

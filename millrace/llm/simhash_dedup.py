@@ -255,15 +255,22 @@ def index_links(fps: DataFrame, node_limit: int = NODE_LIMIT) -> DataFrame:
 
 # --- components ---------------------------------------------------------------
 def _large_star(links: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node is linked to the least of the node and its neighbours.
+
+    The least neighbours are a table of their own: a node with very many links then meets
+    its one row through a join of two plain shuffles, which Spark splits where it is skewed.
+    """
     both = links.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(
         links.select(F.col("v").alias("a"), F.col("u").alias("b"))
     )
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = keep_table(least, "least")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    """The smaller neighbours of a node, and the node, are linked to the least of them."""
+    least = keep_table(links.groupBy("u").agg(F.min("v").alias("m")), "least")
     ends = F.explode(F.array(F.col("u"), F.col("v")))
     return (
         links.join(least, "u").select(ends.alias("w"), "m").where("w <> m")

@@ -1,20 +1,23 @@
 """Phrase collocations by Toivonen's sampling method.
 
 A sample proposes: the phrases of up to ``LONGEST`` words that reach a lowered count in
-one text of ``SAMPLE_OF``.  A pass over all texts then counts, exactly, every word, every
-proposed phrase and the negative border: the phrases that are not proposed although their
-parts of one word less are.  Border phrases that turn out frequent join the proposed
-ones, and an expansion pass counts what thereby enters the border.  It takes the newly
-entered phrases for held in turn, so what they could lead to is counted in the same pass
-and nothing is open after it.  The result depends on the texts alone; the sample decides
-how much is left to the second pass.
+one text of ``SAMPLE_OF``.  A pass over all texts then counts every word, every proposed
+phrase and the negative border: the phrases that are not proposed although their parts of
+one word less are.  Border phrases that turn out frequent join the proposed ones, and an
+expansion pass counts what thereby enters the border.  It takes the newly entered phrases
+for held in turn, so what they could lead to is counted in the same pass and nothing is
+open after it.  The result depends on the texts alone; the sample decides how much is left
+to the expansion.
+
+The first pass counts 64-bit fingerprints, where two phrases may share one: its counts are
+never too low, so what stays under the bound is done with.  The expansion pass counts the
+rest again by their words, and only these exact counts are used.
 
 The proposed phrases reach the workers as a bit table of fixed size (``TABLE_BITS``, two
 probes).  A phrase it holds by chance is counted although it need not be; no phrase is
-ever missed, and bits are only added, so each phrase is counted in exactly one pass.
-Workers number the words of about ``HELD_WORDS`` tokens at a time, count positions with
-numpy and send each phrase once with its count; a word or phrase that is everywhere
-costs one row per worker and flush.
+ever missed.  Workers number the words of about ``HELD_WORDS`` tokens at a time, count
+positions with numpy and send each phrase once with its count; a word or phrase that is
+everywhere costs one row per worker and flush.
 
 Scores are exact: products that may pass 64 bits are decimals.
 
@@ -43,7 +46,7 @@ SAMPLE_LEAST = 3  # lowered from LEAST_COUNT / SAMPLE_OF
 TOP = 2000
 PARTS = 64  # of a language's phrases, ranked apart first
 TABLE_BITS = 1 << 26
-HELD_WORDS = 1 << 20
+HELD_WORDS = 1 << 19
 TOTAL_ROW_BYTES = 40
 BREAKS = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)  # all pieces end in the same mark
 
@@ -82,24 +85,14 @@ def is_held(table: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _place_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        by_length: dict[int, list[list[int]]] = {}
-        for lang, phrase in zip(b.column("lang").to_pylist(), b.column("phrase").to_pylist()):
-            words = [word_hash(lang, w) for w in phrase.encode().split(b" ")]
-            by_length.setdefault(len(words), []).append(words)
-        hashes = [np.zeros(0, np.uint64)]
-        for words in (np.array(rows, np.uint64) for rows in by_length.values()):
-            h = words[:, 0]
-            for k in range(1, words.shape[1]):
-                h = longer_hash(h, words[:, k])
-            hashes.append(h)
-        at = np.concatenate(probes(np.concatenate(hashes)))
+        at = np.concatenate(probes(b.column("h").to_numpy().view(np.uint64)))
         mask = np.left_shift(np.uint64(1), (at & 63).astype(np.uint64)).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(mask)], ["slot", "mask"])
 
 
-def table_with(phrases: DataFrame, table: np.ndarray) -> np.ndarray:
-    """``table`` with the bits of ``phrases`` (lang, phrase); at most ``TABLE_BITS`` / 64 rows reach the driver."""
-    slots = phrases.select("lang", "phrase").mapInArrow(_place_batches, "slot BIGINT, mask BIGINT")
+def table_with(prints: DataFrame, table: np.ndarray) -> np.ndarray:
+    """``table`` with the bits of ``prints`` (h); at most ``TABLE_BITS`` / 64 rows reach the driver."""
+    slots = prints.select("h").mapInArrow(_place_batches, "slot BIGINT, mask BIGINT")
     rows = slots.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
     grown = table.copy()
     grown[rows["slot"].to_numpy()] |= rows["mask"].to_numpy().view(np.uint64)
@@ -135,130 +128,126 @@ class _Block:
         self.ids.extend(map(known.__getitem__, words))
         self.ids.append(0)
 
+    def numbers(self) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all tokens, and the hash of each number's word."""
+        hashes = np.fromiter(map(word_hash, self.langs, self.words), np.uint64, len(self.words))
+        return np.array(self.ids, np.int64), hashes
+
 
 def _border(
-    ids: np.ndarray, hashes: np.ndarray, table: np.ndarray, before: np.ndarray | None
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For 1 to ``LONGEST`` words: the places of phrases to be counted, and which of them ``table`` holds.
+    ids: np.ndarray, hashes: np.ndarray, table: np.ndarray, before: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For 1 to ``LONGEST`` words, the phrases to be counted: place, fingerprint, held, counted before.
 
     A phrase is counted where its first and its last part of one word less are held.  With
-    ``before``, phrases counted under that table already are left out, and those that are
-    new stand for held ones in turn: all longer phrases they could lead to come with them.
+    the table of an earlier pass, phrases that it had not counted stand for held ones in
+    turn: all longer phrases they could lead to come with them.
     """
     words = np.arange(len(hashes)) > 0
-    held = (is_held(table, hashes) & words)[ids]
-    h = hashes[ids]
-    if before is None:
-        yield np.flatnonzero(ids), held[ids > 0]
-    else:
-        was = (is_held(before, hashes) & words)[ids]
-        yield np.zeros(0, np.int64), np.zeros(0, bool)
+    h, held = hashes[ids], (is_held(table, hashes) & words)[ids]
+    was = held if before is None else (is_held(before, hashes) & words)[ids]
+    at = np.flatnonzero(ids)
+    yield at, h[at], held[at], np.full(len(at), before is not None)
     for k in range(2, LONGEST + 1):
         at = np.flatnonzero(held[:-1] & held[1:])
         h = longer_hash(h[:-1], hashes[ids[k - 1 :]])
-        member = is_held(table, h[at])
+        member, old = is_held(table, h[at]), np.zeros(len(at), bool)
         held = np.zeros(len(h), bool)
         held[at] = member
-        if before is None:
-            yield at, member
-            continue
-        old = was[:-1][at] & was[1:][at]
-        was = np.zeros(len(h), bool)
-        was[at[old]] = is_held(before, h[at[old]])
-        held[at[~old]] = True
-        yield at[~old], member[~old]
-
-
-def _counted(
-    block: _Block, table: np.ndarray, before: np.ndarray | None, only: int | None = None
+        if before is not None:
+            old = was[:-1][at] & was[1:][at]
+            was = np.zeros(len(h), bool)
+            was[at[old]] = is_held(before, h[at[old]])
+            held[at[~old]] = True
+        yield at, h[at], member, old
+
+
+def _print_rows(block: _Block, table: np.ndarray, only: int | None = None) -> Iterator[pa.RecordBatch]:
+    """(h, n, held): fingerprints of the phrases ``table`` has counted (of ``only`` words)."""
+    ids, hashes = block.numbers()
+    for k, (_, h, held, _) in enumerate(_border(ids, hashes, table), 1):
+        if only in (None, k):
+            prints, first, n = np.unique(h, return_index=True, return_counts=True)
+            columns = [pa.array(prints.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(held[first])]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "n", "held"])
+
+
+def _phrase_rows(
+    block: _Block, table: np.ndarray, before: np.ndarray, frequent: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    ids = np.array(block.ids, np.int64)
-    block.ids.clear()
+    """(lang, phrase, k, n) of the phrases that ``frequent`` holds or ``before`` had not counted.
+
+    With k = 0, the words of each language.
+    """
+    ids, hashes = block.numbers()
     words = np.array([w.decode("utf-8", "surrogatepass") for w in block.words], object)
     langs = np.array(block.langs, object)
-    hashes = np.fromiter(map(word_hash, block.langs, block.words), np.uint64, len(words))
-    number = np.zeros(len(ids), np.int64)  # of the shorter phrase at a place
-    for k, (at, held) in enumerate(_border(ids, hashes, table, before), 1):
-        if before is None:  # the first part of a phrase was counted here too
-            code = number[at] * len(words) + ids[at + k - 1]
-        else:
-            code = ids[at]
-            for j in range(1, k):
-                code = np.unique(code, return_inverse=True)[1] * len(words) + ids[at + j]
-        _, first, inverse, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        number[at] = inverse
-        if only not in (None, k):
-            continue
+    for k, (at, h, _, old) in enumerate(_border(ids, hashes, table, before), 1):
+        at = at[~old | is_held(frequent, h)]
+        code = ids[at]
+        for j in range(1, k):
+            code = np.unique(code, return_inverse=True)[1] * len(words) + ids[at + j]
+        _, first, n = np.unique(code, return_index=True, return_counts=True)
         place = at[first]
         phrases = list(map(" ".join, zip(*(words[ids[place + j]] for j in range(k)))))
-        yield _rows(langs[ids[place]], phrases, k, n, held[first])
-    if before is None and only is None:  # all words of a language, as a phrase of none
-        names, sums = np.unique(langs[ids[ids > 0]].astype(str), return_counts=True)
-        yield _rows(names, [""] * len(names), 0, sums, np.ones(len(names), bool))
+        yield _rows(langs[ids[place]], phrases, k, n)
+    names, sums = np.unique(langs[ids[ids > 0]].astype(str), return_counts=True)
+    yield _rows(names, [""] * len(names), 0, sums)
 
 
-def _rows(langs, phrases: list[str], k: int, n: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
+def _rows(langs, phrases: list[str], k: int, n: np.ndarray) -> pa.RecordBatch:
     columns = [
         pa.array(list(langs), pa.string()),
         pa.array(phrases, pa.string()),
         pa.array(np.full(len(n), k, np.int32)),
         pa.array(n.astype(np.int64)),
-        pa.array(held),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "k", "n", "held"])
+    return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "k", "n"])
 
 
-def count_pass(texts: DataFrame, table: np.ndarray, before: np.ndarray | None, only: int | None = None) -> DataFrame:
-    """(lang, phrase, k, n, held): exact counts of what ``table`` has counted and ``before`` had not.
-
-    The first pass (``before`` is None) also gives, with k = 0, the words of each language;
-    with ``only``, phrases of so many words alone are given.
-    """
-    context = texts.sparkSession.sparkContext
-    now = context.broadcast(table)
-    earlier = None if before is None else context.broadcast(before)
+def _over_blocks(texts: DataFrame, rows_of, tables: list[np.ndarray], schema: str, *more) -> DataFrame:
+    """The rows of every block of ``texts`` (lang, text)."""
+    sent = [texts.sparkSession.sparkContext.broadcast(t) for t in tables]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = _Block()
-        old = None if earlier is None else earlier.value
+        block, held = _Block(), [t.value for t in sent]
         for b in batches:
             for lang, text in zip(b.column("lang"), b.column("text")):
                 block.add(lang.as_py(), text.as_py())
                 if len(block.ids) > HELD_WORDS:
-                    yield from _counted(block, now.value, old, only)
+                    yield from rows_of(block, *held, *more)
                     block = _Block()
-        yield from _counted(block, now.value, old, only)
+        yield from rows_of(block, *held, *more)
 
-    rows = texts.mapInArrow(work, "lang STRING, phrase STRING, k INT, n BIGINT, held BOOLEAN")
-    # A phrase has one k and one held; as plain numbers they leave Spark its hash aggregate.
-    return rows.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.sum("n").alias("n"), F.max("held").alias("held"))
+    return texts.mapInArrow(work, schema)
 
 
-def _often(texts: DataFrame, table: np.ndarray, before: np.ndarray | None, least: int, only: int | None = None) -> DataFrame:
-    counts = count_pass(texts, table, before, only).where((F.col("n") >= least) | (F.col("k") == 0))
-    return keep_table(counts, "phrase-counts")
+def frequent_prints(texts: DataFrame, table: np.ndarray, least: int, only: int | None = None) -> DataFrame:
+    """(h, held): fingerprints with ``least`` occurrences of what ``table`` has counted."""
+    rows = _over_blocks(texts, _print_rows, [table], "h BIGINT, n BIGINT, held BOOLEAN", only)
+    sums = rows.groupBy("h").agg(F.sum("n").alias("n"), F.max("held").alias("held"))
+    return keep_table(sums.where(F.col("n") >= least).select("h", "held"), "phrase-prints")
 
 
-def mined_sample(sample: DataFrame, least: int) -> DataFrame:
-    """(lang, phrase) of the sample's phrases of ``least`` occurrences, one length after another."""
-    table, found = no_phrases(), None
+def mined_sample(sample: DataFrame, least: int) -> np.ndarray:
+    """The table of the sample's phrases of ``least`` occurrences, found one length after another."""
+    table = no_phrases()
     for k in range(1, LONGEST + 1):
-        longest = _often(sample, table, None, least, k).select("lang", "phrase")
-        found = longest if found is None else found.unionByName(longest)
-        table = table_with(longest, table)
-    return found
+        table = table_with(frequent_prints(sample, table, least, k), table)
+    return table
 
 
-def closed_counts(texts: DataFrame, proposed: DataFrame, least: int) -> DataFrame:
+def closed_counts(texts: DataFrame, proposed: np.ndarray, least: int) -> DataFrame:
     """(lang, phrase, k, n) of all phrases with at least ``least`` occurrences, and the k = 0 totals."""
-    table, before, found = table_with(proposed, no_phrases()), None, None
-    while True:
-        counts = _often(texts, table, before, least)
-        found = counts if found is None else found.unionByName(counts)
-        failed = counts.where(~F.col("held") & F.col("k").between(1, LONGEST - 1))
-        if before is not None or failed.isEmpty():  # a second pass has counted all that failures lead to
-            return found.drop("held")
-        before, table = table, table_with(failed, table)
+    prints = frequent_prints(texts, proposed, least)
+    frequent = table_with(prints, no_phrases())
+    grown = table_with(prints.where(~F.col("held")), proposed)  # with the border's failures
+    rows = _over_blocks(
+        texts, _phrase_rows, [grown, proposed, frequent], "lang STRING, phrase STRING, k INT, n BIGINT"
+    )
+    # A phrase has one k; as a plain maximum it leaves Spark its hash aggregate.
+    counts = rows.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.sum("n").alias("n"))
+    return counts.where((F.col("n") >= least) | (F.col("k") == 0))
 
 
 def frequent_phrases(

@@ -74,33 +74,46 @@ def test_border_failures_are_closed(spark, rows):
     """Whatever is proposed, all frequent phrases come out with their counts, each once."""
     texts = spark.createDataFrame([(l or "und", t or "") for l, t in rows], "lang STRING, text STRING")
     want = {(l, " ".join(p), n) for (l, p), n in brute_counts(rows)[0].items() if n >= 30}
-    some = spark.createDataFrame([("en", "new"), ("en", "york"), ("en", "new york"), ("fr", "nowhere")], "lang STRING, phrase STRING")
-    for proposed in (some.limit(0), some, C.mined_sample(texts.limit(50), 3)):
+    half = C.no_phrases() | C.np.uint64(0x5555555555555555)  # holds about a quarter of everything
+    for proposed in (C.no_phrases(), half, ~C.no_phrases(), C.mined_sample(texts.limit(50), 3)):
         got = [(r.lang, r.phrase, r.n) for r in C.closed_counts(texts, proposed, 30).where("k > 0").collect()]
         assert len(got) == len(set(got)) and set(got) == want
 
 
 def test_blocks_of_any_size_count_alike(rows):
-    full = C.no_phrases() | ~C.no_phrases()  # every phrase is held
-    sums = []
-    for size, proposed_first in ((1, False), (40, False), (len(rows), False), (40, True)):
+    none, full, sums = C.no_phrases(), ~C.no_phrases(), []
+    for size, before, frequent in ((1, full, full), (40, full, full), (len(rows), full, full), (40, none, none)):
         f = Counter()
         for at in range(0, len(rows), size):
             block = C._Block()
             for lang, text in rows[at : at + size]:
                 block.add(lang or "und", text or "")
-            if not proposed_first:
-                parts = list(C._counted(block, full, None))
-            else:  # all but words are left to the second pass
-                parts = [*C._counted(block, C.no_phrases(), None), *C._counted(block, full, C.no_phrases())]
-            for b in parts:
+            for b in C._phrase_rows(block, full, before, frequent):
                 for r in b.to_pylist():
                     f[r["lang"], r["phrase"], r["k"]] += r["n"]
         sums.append(f)
-    assert sums[0] == sums[1] == sums[2] == sums[3]
     brute, total = brute_counts(rows)
-    assert {k: n for k, n in sums[0].items() if k[2]} == {(l, " ".join(p), len(p)): n for (l, p), n in brute.items()}
     assert {k[0]: n for k, n in sums[0].items() if not k[2]} == {l: n for l, n in total.items() if n}
+    want = {(l, " ".join(p), len(p)): n for (l, p), n in brute.items()}
+    for f in sums[:3]:
+        assert {k: n for k, n in f.items() if k[2]} == want
+    assert {k: n for k, n in sums[3].items() if k[2]} == {k: n for k, n in want.items() if k[2] > 1}
+
+
+def test_fingerprints_never_count_too_low(rows):
+    block, prints, words = C._Block(), Counter(), Counter()
+    for lang, text in rows:
+        block.add(lang or "und", text or "")
+    for b in C._print_rows(block, ~C.no_phrases()):
+        for r in b.to_pylist():
+            prints[r["h"]] += r["n"]
+    for (lang, p), n in brute_counts(rows)[0].items():
+        hashes = [C.np.array([C.word_hash(lang, w.encode())], C.np.uint64) for w in p]
+        h = hashes[0]
+        for w in hashes[1:]:
+            h = C.longer_hash(h, w)
+        words[int(h.view(C.np.int64)[0])] += n
+    assert prints == words
 
 
 def test_query_against_sql(spark):

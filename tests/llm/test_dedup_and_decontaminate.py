@@ -7,10 +7,12 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate as D
 from millrace.llm import exact_dedup as E
 from millrace.llm import simhash_dedup as H
+from millrace.sizing import BROADCAST_BYTES
 
 RNG = random.Random(3)
 VOCABULARY = ["".join(RNG.choices("abcdefgh", k=RNG.randint(1, 6))) for _ in range(300)]
@@ -142,7 +144,16 @@ def words(text):
     return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower(text))
 
 
-def test_decontamination(spark, docs, benchmark):
+@pytest.fixture(params=["one_pass", "by_text"])
+def window_plan(request, spark):
+    """Windows small enough to broadcast, and too many for it."""
+    if request.param == "by_text":
+        spark.conf.set(BROADCAST_BYTES, "0")
+    yield request.param
+    spark.conf.unset(BROADCAST_BYTES)
+
+
+def test_decontamination(spark, docs, benchmark, window_plan):
     planted = [
         ITEMS[0][1].upper(), prose(30) + "; " + ITEMS[0][1].replace(" ", "--") + " " + prose(5), ITEMS[1][1], prose(3000) + " " + ITEMS[1][1],
         "a short, UNUSUAL item", "item short unusual", "solo9 " + prose(19), "solo9 " + prose(20), "the " * 40, ITEMS[6][1] + " " + ITEMS[0][1],
@@ -161,6 +172,9 @@ def test_decontamination(spark, docs, benchmark):
         want.append((r.doc_id, len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
     got = D.benchmark_hits(table, benchmark).drop("items")
     assert by_row(got.collect()) == by_row(want)
+    plan = got._jdf.queryExecution().toString()
+    assert ("t_digest" in plan) == (window_plan == "by_text")
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
     assert sum(w[2] > 0 for w in want) > 8
     gone = {w[0] for w in want if w[5]}
     stays = D.drop_contaminated(table, benchmark)
@@ -168,7 +182,23 @@ def test_decontamination(spark, docs, benchmark):
     assert {r.doc_id for r in stays.collect()} == {w[0] for w in want} - gone
 
 
-def test_empty_tables(spark, docs, benchmark):
+def test_places_pass_the_bit_table_and_meet_anchors_without_words(spark, docs, benchmark, monkeypatch):
+    monkeypatch.setattr(D, "FILTER_BITS", 128)  # a full table lets every place through and changes no row
+    spark.conf.set(BROADCAST_BYTES, "0")
+    try:
+        crowded = by_row(D.benchmark_hits(docs, benchmark).collect())
+    finally:
+        spark.conf.unset(BROADCAST_BYTES)
+    assert crowded == by_row(D.benchmark_hits(docs, benchmark).collect())
+    anchors = D.rarest_shingles(D.item_windows(benchmark))
+    own = {r.h for r in anchors.collect()}
+    spots = anchors.select(F.col("h").alias("d_h")).distinct().unionAll(spark.range(100000).select(F.xxhash64("id").alias("d_h")))
+    monkeypatch.setattr(D, "FILTER_BITS", 1 << 23)
+    passed = [r.d_h for r in D._possible(spots, anchors).collect()]
+    assert own <= set(passed) and len(passed) < len(own) + 20
+
+
+def test_empty_tables(spark, docs, benchmark, window_plan):
     none = docs.where("false")
     for f in (E.exact_dedup, E.drop_exact_copies, H.simhash_groups, H.drop_near_copies):
         assert f(none).count() == 0

@@ -6,9 +6,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.functions.exact import units
+from millrace.operators import delta_windows as D
 from millrace.plans import event_time
 from millrace.plans.registry import query
 from millrace.scratch import new_folder
+from millrace.streaming import delta as SD
 from millrace.streaming import matching as M
 from millrace.streaming import triggers as G
 from millrace.streaming import transforms as W
@@ -154,3 +156,63 @@ def followed_by_comparator(t):
     conditions = [F.col("event_type") == k for k in SEQUENCE]
     found = M.followed_by(rough, conditions, 2 * 86400, -units("value"), F.col("hour"), 3600)
     return run_append(found, "comparator")
+
+
+DELTA_CENTS = 50_000  # a window ends once a user's values have added up to more than 500 since the last cut
+_WALK = f"""WITH RECURSIVE r AS (
+      SELECT user_id, event_id, ts, cents, row_number() OVER w AS pos, sum(abs(coalesce(cents, 0))) OVER w AS dist
+      FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS cents FROM events WHERE ts IS NOT NULL)
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+    walk AS (
+      SELECT user_id, pos, dist AS base, false AS closes, CAST(0 AS BIGINT) AS window_no FROM r WHERE pos = 1
+      UNION ALL
+      SELECT r.user_id, r.pos, CASE WHEN r.dist - k.base > {DELTA_CENTS} THEN r.dist ELSE k.base END,
+             r.dist - k.base > {DELTA_CENTS}, k.window_no + CAST(k.closes AS BIGINT)
+      FROM walk k JOIN r ON r.user_id IS NOT DISTINCT FROM k.user_id AND r.pos = k.pos + 1)"""
+_MAX_PER_DELTA = f"""{_WALK}
+    SELECT user_id, window_no, count(*) AS n, max(cents) AS top_cents,
+           arg_min(event_id, {{'v': -cents, 'e': event_id}}) FILTER (WHERE cents IS NOT NULL) AS top_event
+    FROM walk JOIN r USING (pos) WHERE walk.user_id IS NOT DISTINCT FROM r.user_id
+    GROUP BY ALL HAVING bool_or(closes)""".replace("SELECT user_id, window_no", "SELECT r.user_id, window_no")
+
+
+def _delta_rows(t):
+    timed = t.events.where("ts IS NOT NULL").select("user_id", "ts", "event_id", units("value").alias("cents"))
+    return D.delta_windows(timed, ["user_id"], ["ts", "event_id"], F.col("cents"), DELTA_CENTS)
+
+
+@query("STR-23", "max_per_delta_window", _MAX_PER_DELTA)
+def max_per_delta_window(t):
+    best = F.struct(-F.col("cents"), "event_id")
+    return D.closed_windows(
+        _delta_rows(t),
+        ["user_id"],
+        [
+            F.count("*").alias("n"),
+            F.max("cents").alias("top_cents"),
+            F.min_by("event_id", F.when(F.col("cents").isNotNull(), best)).alias("top_event"),
+        ],
+    )
+
+
+@query("STR-23", "max_per_delta_window_stream", _MAX_PER_DELTA)
+def max_per_delta_window_stream(t):
+    return run_append(SD.max_per_delta_window(event_stream(t), "user_id", DELTA_CENTS), "delta-windows")
+
+
+@query(
+    "STR-26",
+    "delta_evictor",
+    f"""{_WALK},
+      placed AS (SELECT r.*, window_no, closes FROM walk JOIN r USING (pos) WHERE walk.user_id IS NOT DISTINCT FROM r.user_id),
+      last AS (SELECT user_id AS u, window_no AS w, cents AS last_cents FROM placed WHERE closes)
+    SELECT user_id, window_no, count(*) AS kept, CAST(sum(cents) AS BIGINT) AS cents
+    FROM placed JOIN last ON u IS NOT DISTINCT FROM user_id AND w = window_no
+    WHERE abs(cents - last_cents) < 2000 GROUP BY 1, 2""",
+)
+def delta_evictor(t):
+    # When a delta window ends, only rows within 20 of its last value are summed.
+    windows = ["user_id", "window_no"]
+    kept = D.evict_by_delta(_delta_rows(t), windows, ["ts", "event_id"], F.col("cents"), 2000)
+    # The closing row is the last one, so it is kept and tells that the window is over.
+    return D.closed_windows(kept, ["user_id"], [F.count("*").alias("kept"), F.sum("cents").alias("cents")])

@@ -45,3 +45,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_base(spark) + "/lineage")
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as a table under the shared folder and read it back.
+
+    Like ``cut_lineage``, and size checks after it see the table's own size rather than
+    an estimate multiplied over joins.
+    """
+    spark = df.sparkSession
+    folder = new_folder(spark, label)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

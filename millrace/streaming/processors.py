@@ -156,20 +156,21 @@ class CountTrigger(StatefulProcessor):
         at = pd.Series(range(seen, seen + len(pdf)))
         window = at // self.n
         amount = cents(pdf["value"]).fillna(0).astype("int64")
+        ids = pdf["event_id"].astype("Int64")
         if self.purge:
             open_window = seen // self.n
             sums = amount.groupby(window).cumsum() + (window == open_window) * held
-            firsts = pdf["event_id"].groupby(window).transform("first")
-            if seen % self.n and first is not None:
+            firsts = ids.iloc[(window * self.n - seen).clip(lower=0)].reset_index(drop=True)
+            if seen % self.n:
                 firsts = firsts.where(window != open_window, first)
         else:
             sums = amount.cumsum() + held
-            firsts = pd.Series(first if first is not None else pdf["event_id"].iloc[0], index=pdf.index)
+            firsts = pd.Series(_plain(first if seen else ids.iloc[0]), index=pdf.index, dtype="Int64")
         fired = (at + 1) % self.n == 0
         total = seen + len(pdf)
         closed = self.purge and total % self.n == 0
         self.state.update(
-            (total, 0 if closed else int(sums.iloc[-1]), None if closed else int(firsts.iloc[-1]))
+            (total, 0 if closed else int(sums.iloc[-1]), None if closed else _plain(firsts.iloc[-1]))
         )
         yield pd.DataFrame(
             {
@@ -198,13 +199,14 @@ class Previous(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         pdf = in_order(rows)
         at = micros(pdf["ts"])
-        kind, ident, when = self.last.get() if self.last.exists() else (None, None, None)
+        known = self.last.exists()
+        kind, ident, when = self.last.get() if known else (None, None, None)
         previous_at = at.shift(1)
         previous_id = pdf["event_id"].astype("Int64").shift(1)
         previous_kind = pdf["event_type"].shift(1)
-        if ident is not None:
+        if known:
             previous_at.iloc[0], previous_id.iloc[0], previous_kind.iloc[0] = when, ident, kind
-        self.last.update((pdf["event_type"].iloc[-1], int(pdf["event_id"].iloc[-1]), _plain(at.iloc[-1])))
+        self.last.update((pdf["event_type"].iloc[-1], _plain(pdf["event_id"].iloc[-1]), _plain(at.iloc[-1])))
         yield pd.DataFrame(
             {
                 "event_id": pdf["event_id"],
@@ -239,7 +241,7 @@ class Silence(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         pdf = in_order(rows)
         at = micros(pdf["ts"]) // 1000
-        ids, times = pdf["event_id"].tolist(), [_plain(x) for x in at]
+        ids, times = [_plain(x) for x in pdf["event_id"]], [_plain(x) for x in at]
         if self.last.exists():
             ident, when, reported = self.last.get()
             if not reported:
@@ -252,7 +254,7 @@ class Silence(StatefulProcessor):
             silent.append(ids[-1])
         else:
             self.handle.registerTimer(times[-1] + self.limit)
-        yield pd.DataFrame({"user_id": pd.Series([key_of(key)] * len(silent), dtype="Int64"), "event_id": silent})
+        yield pd.DataFrame({"user_id": pd.Series([key_of(key)] * len(silent), dtype="Int64"), "event_id": pd.Series(silent, dtype="Int64")})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         ident, when, _ = self.last.get()
@@ -306,15 +308,15 @@ class StrictSequence(StatefulProcessor):
         n = len(self.kinds)
         held = [tuple(r) for r in self.tail.get()] if self.tail.exists() else []
         seen = pd.DataFrame(
-            held + list(zip(pdf["event_type"], pdf["event_id"], at)), columns=["kind", "id", "at"]
+            held + list(zip(pdf["event_type"], map(_plain, pdf["event_id"]), at)), columns=["kind", "id", "at"]
         )
-        seen["at"] = seen["at"].astype("Int64")
+        seen = seen.astype({"id": "Int64", "at": "Int64"})
         found = (seen["at"] - seen["at"].shift(n - 1) <= self.within).fillna(False).astype(bool)
         for back, kind in enumerate(reversed(self.kinds)):
             found &= seen["kind"].shift(back) == kind
         keep = seen.tail(n - 1)
-        self.tail.put([(k, int(i), _plain(a)) for k, i, a in keep.itertuples(index=False)])
-        ids = [seen["id"].shift(n - 1 - i)[found].astype("int64") for i in range(n)]
+        self.tail.put([(k, _plain(i), _plain(a)) for k, i, a in keep.itertuples(index=False)])
+        ids = [seen["id"].shift(n - 1 - i)[found] for i in range(n)]
         yield pd.DataFrame({"user_id": key_of(key), **{f"event_id_{i + 1}": v for i, v in enumerate(ids)}})
 
     def close(self) -> None:
@@ -335,7 +337,7 @@ class KeepFirst(StatefulProcessor):
         new = [not self.seen.containsKey(k) for k in kinds]
         fresh = firsts[new]
         for kind, ident in zip([k for k, n in zip(kinds, new) if n], fresh["event_id"]):
-            self.seen.updateValue(kind, (int(ident),))
+            self.seen.updateValue(kind, (_plain(ident),))
         yield pd.DataFrame(
             {"event_id": fresh["event_id"], "user_id": key_of(key), "event_type": fresh["event_type"]}
         )
@@ -378,8 +380,8 @@ class StateKinds(StatefulProcessor):
         top = self._fold(self.top, float(known.max()) if len(known) else None, max)
         total = self._fold(self.cents, int(cents(known).sum()) if len(known) else None, lambda a, b: a + b)
         held = [r[0] for r in self.ids.get()] if self.ids.exists() else []
-        ids = (held + pdf["event_id"].tolist())[-3:]
-        self.ids.put([(int(i),) for i in ids])
+        ids = (held + [_plain(i) for i in pdf["event_id"]])[-3:]
+        self.ids.put([(i,) for i in ids])
         for kind, c in pdf["event_type"].value_counts().items():
             before = self.counts.getValue((kind,))[0] if self.counts.containsKey((kind,)) else 0
             self.counts.updateValue((kind,), (before + int(c),))
@@ -388,7 +390,7 @@ class StateKinds(StatefulProcessor):
             {
                 "user_id": [key_of(key)],
                 "n": [n],
-                "last_ids": [",".join(map(str, ids))],
+                "last_ids": [",".join(str(i) for i in ids if i is not None)],
                 "counts": [",".join(f"{k}={c}" for k, c in counts)],
                 "top": [top],
                 "cents": [total],
@@ -420,11 +422,11 @@ class BufferingSink(StatefulProcessor):
         times = pdf["ts"].dropna()
         latest = int(times.iloc[-1].value // 1_000_000) if len(times) else timerValues.getCurrentWatermarkInMs()
         held = [r[0] for r in self.held.get()] if self.held.exists() else []
-        ids = held + pdf["event_id"].tolist()
+        ids = held + [_plain(i) for i in pdf["event_id"]]
         full = len(ids) // self.size * self.size
         rest = ids[full:]
         if rest:
-            self.held.put([(int(i),) for i in rest])
+            self.held.put([(i,) for i in rest])
         else:
             self.held.clear()
         if self.timer.exists():
@@ -433,13 +435,13 @@ class BufferingSink(StatefulProcessor):
         if rest:
             self.handle.registerTimer(latest + self.idle)
             self.timer.update((latest + self.idle,))
-        yield pd.DataFrame({"event_id": pd.Series(ids[:full], dtype="int64"), "flushed_by": "size"})
+        yield pd.DataFrame({"event_id": pd.Series(ids[:full], dtype="Int64"), "flushed_by": "size"})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         rest = [r[0] for r in self.held.get()] if self.held.exists() else []
         self.held.clear()
         self.timer.clear()
-        yield pd.DataFrame({"event_id": pd.Series(rest, dtype="int64"), "flushed_by": "timer"})
+        yield pd.DataFrame({"event_id": pd.Series(rest, dtype="Int64"), "flushed_by": "timer"})
 
     def close(self) -> None:
         pass

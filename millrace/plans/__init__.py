@@ -13,6 +13,7 @@ from millrace.plans import (  # noqa: F401  (importing registers the queries)
     user_functions,
     event_time,
     stream_jobs,
+    stream_clock,
     stream_windows,
     stream_sinks,
     tpch,

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions import metrics as M
 from millrace.functions.exact import units
 from millrace.operators import aggregates as A
 from millrace.operators.distribution import explained
@@ -170,6 +173,35 @@ def registered_function(t):
     return t.spark.sql("SELECT millrace_add_one(s_suppkey) AS k, s_name FROM {s}", s=t.supplier)
 
 
+@query(
+    "UDF-09",
+    "lookup_order",
+    """SELECT stage, s_suppkey, s_suppkey + added AS k FROM supplier, (VALUES
+         ('catalog alone', 100), ('temporary beside it', 1), ('catalog by its full name', 100),
+         ('temporary dropped', 100)) AS x(stage, added)""",
+)
+def lookup_order(t):
+    # A temporary function hides the catalog's one of the same name; the full name still
+    # finds the catalog's.  Names are resolved when a plan is built.
+    spark, name = t.spark, f"millrace_k_{uuid.uuid4().hex[:12]}"
+    catalog = f"{spark.catalog.currentCatalog()}.{spark.catalog.currentDatabase()}"
+
+    def answered(stage: str, call: str):
+        return spark.sql(f"SELECT '{stage}' AS stage, s_suppkey, {call} AS k FROM {{s}}", s=t.supplier)
+
+    spark.sql(f"CREATE FUNCTION {name}(x BIGINT) RETURNS BIGINT RETURN x + 100")
+    try:
+        found = [answered("catalog alone", f"{name}(s_suppkey)")]
+        spark.udf.register(name, add_one)
+        found.append(answered("temporary beside it", f"{name}(s_suppkey)"))
+        found.append(answered("catalog by its full name", f"{catalog}.{name}(s_suppkey)"))
+        spark.sql(f"DROP TEMPORARY FUNCTION {name}")
+        found.append(answered("temporary dropped", f"{name}(s_suppkey)"))
+    finally:
+        spark.sql(f"DROP FUNCTION {name}")
+    return reduce(lambda a, b: a.union(b), found)
+
+
 @query(
     "UDF-10",
     "user_metrics",
@@ -195,6 +227,45 @@ def user_metrics(t):
     )
 
 
+@query(
+    "UDF-10",
+    "distribution_and_meter",
+    """WITH c AS (SELECT CAST(round(value * 100) AS BIGINT) AS cents FROM events WHERE value IS NOT NULL),
+            r AS (SELECT cents, row_number() OVER (ORDER BY cents) AS rn, count(*) OVER () AS n,
+                         greatest(length(bin(abs(cents))) - 7, 0)::INTEGER AS s FROM c),
+            b AS (SELECT sign(cents) * ((abs(cents) >> s) << s) AS low_end, rn, n FROM r),
+            m AS (SELECT epoch_us(ts) // 1000000 AS sec FROM events WHERE ts IS NOT NULL)
+       SELECT (SELECT count(*) FROM events WHERE event_type = 'error') AS errors,
+              (SELECT count(*) FROM c) AS n, (SELECT CAST(sum(cents) AS BIGINT) FROM c) AS total,
+              (SELECT min(cents) FROM c) AS low, (SELECT max(cents) FROM c) AS high,
+              (SELECT CAST(low_end AS BIGINT) FROM b WHERE rn = (n * 50 + 99) // 100) AS median,
+              (SELECT CAST(low_end AS BIGINT) FROM b WHERE rn = (n * 95 + 99) // 100) AS p95,
+              (SELECT count(*) FROM m WHERE sec > (SELECT max(sec) FROM m) - 60) AS last_minute""",
+)
+def distribution_and_meter(t):
+    seen = M.UserMetrics(t.spark, errors=M.Counter, cents=M.Distribution, rate=M.Meter)
+
+    def handle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            seen.add("errors", M.Counter(int((pdf["event_type"] == "error").sum())))
+            seen.add("cents", M.Distribution.of(pdf["cents"]))
+            seen.add("rate", M.Meter.of(pdf["second"]))
+            yield pdf[["event_id"]]
+
+    rows = t.events.select(
+        "event_id",
+        "event_type",
+        units("value").alias("cents"),
+        F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000)).alias("second"),
+    )
+    discard(rows.mapInPandas(handle, "event_id BIGINT"))
+    values = seen["cents"]
+    return t.spark.createDataFrame(
+        [(seen["errors"].n, values.n, values.total, values.low, values.high, values.quantile(50), values.quantile(95), seen["rate"].per_minute)],
+        "errors BIGINT, n BIGINT, total BIGINT, low BIGINT, high BIGINT, median BIGINT, p95 BIGINT, last_minute BIGINT",
+    )
+
+
 def _label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         yield pd.DataFrame({"slot": pdf["user_id"] % 5, "label": pdf["event_type"].str.upper()})

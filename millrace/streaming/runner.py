@@ -173,3 +173,15 @@ def watch_watermarks(stream: DataFrame, label: str) -> DataFrame:
     reports = f"{base}/reports"
     spark.createDataFrame(listener.rows, "batch_id BIGINT, watermark STRING").write.parquet(reports)
     return spark.read.schema("batch_id BIGINT, watermark STRING").parquet(reports)
+
+
+def run_in_mode(rows: DataFrame, mode: str, label: str) -> tuple[DataFrame, str]:
+    """Final rows of a program, and the mode it ran in.
+
+    AUTOMATIC takes BATCH if every input is bounded.  STREAMING asks for a stream, and
+    BATCH for bounded input.
+    """
+    fitting = "STREAMING" if rows.isStreaming else "BATCH"
+    if mode not in ("AUTOMATIC", fitting):
+        raise ValueError(f"{mode} does not fit this input")
+    return (run_append(rows, label) if rows.isStreaming else rows), fitting

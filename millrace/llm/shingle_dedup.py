@@ -3,11 +3,13 @@
 Two texts are near copies when their sets of five-word shingles have a Jaccard
 similarity of at least 0.8; components of such pairs are one group.  Candidates
 come from MinHash bands: at a similarity of 0.8 a pair shares none of 32 bands of
-four values with a chance of 5e-8, above it with less.  Texts joined by shared
-bands form pools; in a pool every pair is compared on its whole shingle sets, so
-no pair under 0.8 is ever linked.  A pool with more than ``RUN_SHINGLES`` shingles
-is dealt into runs, and each pair of runs is searched as a group of its own:
-nothing is left out.
+five values with a chance of 3e-6, above it with less.  Band values name buckets,
+and each bucket is settled by itself, on whole shingle sets: first every member
+against the bucket's least one, then, where the members still lie in several
+components, all pairs of different components.  A band shared by texts under 0.8
+thus costs a comparison and joins nothing.  A bucket with more than
+``RUN_SHINGLES`` shingles is dealt into runs, and each pair of runs is searched as
+a group of its own: nothing is left out.
 
 Defined results: words are what white space parts, A-Z lower-cased; a text of
 fewer than five words is one shingle; null text is empty text; equal shingle sets
@@ -33,9 +35,11 @@ from millrace.llm.simhash_dedup import star_roots
 SEED = 42
 SHINGLE = 5
 BANDS = 32
-BAND_VALUES = 4
+BAND_VALUES = 5
 CHUNK = 256  # shingles under all permutations at once
-RUN_SHINGLES = 1 << 15
+NEAR, NEAR_OF = 4, 5  # links have NEAR_OF * common >= NEAR * united
+RUN_SHINGLES = 1 << 19
+WANTED_ROW_BYTES = 120  # a digest and a set's id in a broadcast
 GONE_ROW_BYTES = 100  # an id and a digest in a broadcast
 
 _RNG = np.random.default_rng(SEED)
@@ -98,95 +102,152 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.mapInArrow(_sketch_batches, "doc_id BIGINT, sha BINARY, node BINARY, n BIGINT, bands ARRAY<BIGINT>")
 
 
-def pools(rows: DataFrame) -> DataFrame:
-    """(node, pool): the nodes that share a band with another, and the least node joined to them."""
-    each = rows.select("node", F.explode("bands").alias("band"))
-    least = each.groupBy("band").agg(F.min("node").alias("v"), F.max("node").alias("top")).where("v < top")
-    links = each.join(least.select("band", "v"), "band").where("node > v").select(F.col("node").alias("u"), "v")
-    roots = star_roots(links.distinct())
-    return roots.select(F.col("u").alias("node"), F.col("v").alias("pool")).unionByName(
-        roots.select(F.col("v").alias("node"), F.col("v").alias("pool")).distinct()
+def index_entries(rows: DataFrame) -> DataFrame:
+    """(node, n, bands, sha): one entry per shingle set that is not empty, with one text that has it."""
+    held = rows.where("n > 0").groupBy("node")
+    return held.agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("sha").alias("sha"))
+
+
+def bucket_members(entries: DataFrame) -> DataFrame:
+    """(band, node, n, first, first_n): the sets of each band value that two or more share, and the least of them."""
+    each = entries.select(F.explode("bands").alias("band"), "node", "n")
+    least = each.groupBy("band").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("top"))
+    shared = least.where("least.node < top").select("band", F.col("least.node").alias("first"), F.col("least.n").alias("first_n"))
+    return each.join(keep_table(shared, "near-shared"), "band")
+
+
+def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sets = [shingle_set(t).view(np.int64) for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, text_col: str = "text") -> DataFrame:
+    """(node, shingles) of the entries in ``wanted`` (node, sha), each from one of its texts."""
+    wanted = if_small(wanted, wanted.count(), WANTED_ROW_BYTES)
+    texts = docs.select(text_digest(docs, text_col).alias("sha"), whole_text(docs, text_col).alias("text"))
+    sets = texts.join(wanted, "sha").select("node", "text").mapInArrow(_set_batches, "node BINARY, shingles ARRAY<BIGINT>")
+    # Equal texts of a set come once each.
+    return keep_table(sets, "near-texts").groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def candidate_pairs(members: DataFrame) -> DataFrame:
+    """(u, v), u > v: each member with the least of its bucket, where their sizes allow 0.8.
+
+    At most one pair per member, so their number grows with the members.
+    """
+    fits = NEAR_OF * F.least("n", "first_n") >= NEAR * F.greatest("n", "first_n")
+    return members.where((F.col("node") > F.col("first")) & fits).select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose whole sets have a similarity of 0.8 or more."""
+    left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
+    right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
+    common = F.size(F.array_intersect("a", "b")).cast("bigint")
+    united = F.size("a").cast("bigint") + F.size("b") - common
+    return pairs.join(left, "u").join(right, "v").where(NEAR_OF * common >= NEAR * united).select("u", "v")
+
+
+def unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(band, node, n, root) of the buckets of three and more whose members lie in several components.
+
+    Buckets with the same members are one.
+    """
+    named = roots.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    rooted = members.select("band", "node", "n").join(named, "node", "left")
+    rooted = keep_table(rooted.withColumn("root", F.coalesce("root", "node")), "near-rooted")
+    facts = rooted.groupBy("band").agg(
+        (F.min("root") < F.max("root")).alias("several"),
+        F.count(F.lit(1)).alias("size"),
+        F.bit_xor(F.xxhash64("node")).alias("mark"),
+        F.bit_xor(F.xxhash64("node", F.lit(SEED))).alias("second_mark"),
     )
+    once = facts.where("several AND size > 2").groupBy("size", "mark", "second_mark").agg(F.min("band").alias("band"))
+    return rooted.join(keep_table(once.select("band"), "near-unsettled"), "band")
 
 
-def similar_pairs(sets: list[np.ndarray], first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Places a, b of every pair of sets with a similarity of 0.8 or more.
+def similar_places(sets: list[np.ndarray], root: np.ndarray, asks: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each asking set, the places of the sets of other roots with a similarity of 0.8 or more.
 
-    With ``first`` (one flag per set), only pairs of a set in it and one outside.
+    A similar set holds four fifths of the asking set's shingles, and so one of the
+    fifth that is rarest here: only the sets that hold one of those are compared.
     """
     size = np.fromiter(map(len, sets), np.int64, len(sets))
-    owner = np.repeat(np.arange(len(sets)), size)
     _, code = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(code, kind="stable")
-    holders = owner[order]  # the sets that hold each shingle, one shingle after the other
+    holder = np.repeat(np.arange(len(sets)), size)[np.argsort(code, kind="stable")]
     held = np.bincount(code)
-    begin = np.cumsum(held) - held
-    end = np.cumsum(size)
-    found_a, found_b = [], []
-    for i in range(len(sets)) if first is None else np.flatnonzero(first):
-        mine = code[end[i] - size[i] : end[i]]
-        runs = held[mine]
-        at = np.arange(runs.sum()) + np.repeat(begin[mine] - (np.cumsum(runs) - runs), runs)
-        both = np.bincount(holders[at], minlength=len(sets))
-        near = 9 * both >= 4 * (size[i] + size)  # both / (a + b - both) >= 0.8
-        near &= (np.arange(len(sets)) > i) if first is None else ~first
-        b = np.flatnonzero(near)
-        found_a.append(np.full(len(b), i))
-        found_b.append(b)
-    return np.concatenate([np.zeros(0, np.int64), *found_a]), np.concatenate([np.zeros(0, np.int64), *found_b])
+    stop, end = np.cumsum(held), np.cumsum(size)
+    own = [code[e - k : e] for e, k in zip(end, size)]
+    for i in np.flatnonzero(asks):
+        by_rarity = own[i][np.argsort(held[own[i]], kind="stable")]
+        rare = by_rarity[: size[i] - -(-NEAR * size[i] // NEAR_OF) + 1]
+        near = np.unique(np.concatenate([holder[stop[c] - held[c] : stop[c]] for c in rare]))
+        near = near[root[near] != root[i]]
+        near = near[NEAR_OF * np.minimum(size[near], size[i]) >= NEAR * np.maximum(size[near], size[i])]
+        common = np.array([len(np.intersect1d(own[i], own[j], assume_unique=True)) for j in near], np.int64)
+        near = near[NEAR_OF * common >= NEAR * (size[i] + size[near] - common)]
+        if len(near):
+            yield i, near
 
 
 def _run_pair(rows: pd.DataFrame) -> pd.DataFrame:
-    node, run = rows["node"].to_numpy(), rows["run"].to_numpy()
-    sets = [shingle_set(t) for t in rows["text"]]
+    """Links that join the components of one run, or of two; of all links only a forest."""
+    node, run = rows["node"].tolist(), rows["run"].to_numpy()
+    root, _ = pd.factorize(rows["root"])
+    sets = [np.asarray(s, np.int64).view(np.uint64) for s in rows["shingles"]]
+    # Inside a component nothing is left to find, so its largest one need not ask.
+    asks = root != np.bincount(root).argmax()
     first = run == run.min()
-    a, b = similar_pairs(sets, None if rows["lo"].iloc[0] == rows["hi"].iloc[0] else first)
-    pairs = [(max(node[i], node[j]), min(node[i], node[j])) for i, j in zip(a, b)]
-    forest: dict[bytes, bytes] = {}
+    if rows["lo"].iloc[0] != rows["hi"].iloc[0] and first.sum() < asks.sum():
+        asks = first  # pairs inside the first run are settled in a group of its own
+    parent: dict[int, int] = {}
 
-    def top(x: bytes) -> bytes:
-        while (up := forest.get(x, x)) != x:
-            forest[x] = forest.get(up, up)
+    def top(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
             x = up
         return x
 
-    for u, v in pairs:  # of the links only a forest leaves the worker
-        u, v = top(u), top(v)
-        if u != v:
-            forest[max(u, v)] = min(u, v)
-    nodes = sorted(forest)
-    return pd.DataFrame({"u": nodes, "v": [top(x) for x in nodes]}, dtype=object)
-
-
-def similar_links(docs: DataFrame, rows: DataFrame, text_col: str = "text", run_shingles: int = RUN_SHINGLES) -> DataFrame:
-    """Links (u, v), u > v, that join the nodes of each group; ``rows`` are the sketches of ``docs``."""
-    pooled = keep_table(
-        rows.select("node", "sha", "n").join(pools(rows), "node").groupBy("node", "pool", "n").agg(F.min("sha").alias("sha")),
-        "near-pools",
-    )
-    sizes = pooled.groupBy("pool").agg(F.sum("n").alias("shingles"))
-    placed = (
-        pooled.join(sizes, "pool")
+    links = []
+    for i, near in similar_places(sets, root, asks):
+        for j in near:
+            a, b = top(int(root[i])), top(int(root[j]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                links.append((max(node[i], node[j]), min(node[i], node[j])))
+    return pd.DataFrame(links, columns=["u", "v"], dtype=object)
+
+
+def bucket_links(held: DataFrame, sets: DataFrame, run_shingles: int = RUN_SHINGLES) -> DataFrame:
+    """Links between the components of each unsettled bucket, every pair of them searched."""
+    sizes = held.groupBy("band").agg(F.sum("n").alias("shingles"))
+    dealt = (
+        held.join(sizes, "band")
         .withColumn("runs", F.ceil(F.col("shingles") / F.lit(run_shingles)).cast("int"))
         .withColumn("run", F.pmod(F.xxhash64("node"), F.col("runs")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)))
+        .select("band", "node", "root", "run", F.least("run", "other").alias("lo"), F.greatest("run", "other").alias("hi"))
     )
-    texts = docs.select(text_digest(docs, text_col).alias("sha"), whole_text(docs, text_col).alias("text"))
-    one_each = texts.join(placed.select("sha", "node", "pool", "run", "runs"), "sha").groupBy("node", "pool", "run", "runs").agg(
-        F.first("text").alias("text")
-    )
-    dealt = one_each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)))
-    return (
-        dealt.select("node", "text", "pool", "run", F.least("run", "other").alias("lo"), F.greatest("run", "other").alias("hi"))
-        .groupBy("pool", "lo", "hi")
-        .applyInPandas(_run_pair, "u BINARY, v BINARY")
-        .distinct()
-    )
+    return dealt.join(sets, "node").groupBy("band", "lo", "hi").applyInPandas(_run_pair, "u BINARY, v BINARY").distinct()
+
+
+def similar_roots(docs: DataFrame, rows: DataFrame, text_col: str = "text", run_shingles: int = RUN_SHINGLES) -> DataFrame:
+    """(u, v): nodes that are not the least of their group, and the least; ``rows`` are the sketches of ``docs``."""
+    entries = keep_table(index_entries(rows), "near-entries")
+    members = keep_table(bucket_members(entries), "near-members")
+    wanted = entries.select("node", "sha").join(members.select("node").distinct(), "node", "left_semi")
+    sets = keep_table(whole_sets(docs, keep_table(wanted, "near-wanted"), text_col), "near-sets")
+    pairs = keep_table(candidate_pairs(members), "near-pairs")
+    roots = star_roots(confirmed(pairs, sets))
+    late = keep_table(bucket_links(unsettled(members, roots), sets, run_shingles), "near-late")
+    return star_roots(roots.unionByName(late))
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_shingles: int = RUN_SHINGLES) -> DataFrame:
     """The rows of ``docs`` that are not near copies of a row with a smaller doc_id, with all columns."""
     rows = keep_table(sketches(docs, id_col, text_col), "near-sketches")
-    roots = star_roots(similar_links(docs, rows, text_col, run_shingles))
+    roots = similar_roots(docs, rows, text_col, run_shingles)
     named = roots.select(F.col("u").alias("node"), F.col("v").alias("root"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha")
     entries = rows.groupBy("node").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows"))

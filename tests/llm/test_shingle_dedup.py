@@ -72,3 +72,28 @@ def test_stage_drops_pairs_of_four_fifths(spark):
     want = survivors(rows)
     assert 0 < len(want) < len(rows)
     assert sorted(((r.doc_id, r.text) for r in P.near(spark, docs, SMALL).collect()), key=repr) == want
+
+
+def test_work_of_loosely_similar_texts_grows_with_their_number(spark):
+    """Texts that share a third of their shingles with each other join nothing; one real pair is found."""
+    counts = {}
+    for n in (60, 120):
+        common = brute.prose(120)
+        texts = [f"{common} {brute.prose(110)}" for _ in range(n)]
+        texts.append(changed(texts[0], 2))
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+        rows = S.sketches(docs)
+        counts[n] = S.candidate_pairs(S.bucket_members(S.index_entries(rows))).count()
+        got = {r.doc_id for r in S.drop_similar(docs).collect()}
+        assert got == set(range(n))
+    assert 0 < counts[120] <= 3 * counts[60]
+
+
+def test_chain_is_one_group(spark):
+    """Each text is near the next one only; the group is the whole chain, in any order of hashes."""
+    words = [f"w{i}" for i in range(460)]
+    texts = [" ".join(words[12 * i : 12 * i + 220]) for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    assert len(set(groups(texts))) == 1
+    for run_shingles in (500, S.RUN_SHINGLES):
+        assert [r.doc_id for r in S.drop_similar(docs, run_shingles=run_shingles).collect()] == [0]

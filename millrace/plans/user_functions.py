@@ -6,7 +6,10 @@ import uuid
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +19,7 @@ from millrace.functions.exact import units
 from millrace.operators import aggregates as A
 from millrace.operators.distribution import explained
 from millrace.operators.ordered import By, top_n
-from millrace.plans.registry import query
+from millrace.plans.registry import REGISTRY, query
 from millrace.sources.sinks import discard
 
 
@@ -89,6 +92,28 @@ def table_function(t):
     )
 
 
+class _BatchWords:
+    """One row per word of a name with its position, a batch of names per call.
+
+    A missing name has the one empty word of an empty name.
+    """
+
+    def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+        names = pc.fill_null(batch.column(0), "")
+        split = pc.split_pattern(names, " ")
+        counts = pc.list_value_length(split).to_numpy()
+        first = np.repeat(np.cumsum(counts) - counts, counts)
+        at = pa.array(np.arange(len(first)) - first, pa.int32())
+        yield pa.table({"word": pc.list_flatten(split), "pos": at})
+
+
+@query("UDF-04", "table_function_batches", REGISTRY["udf_04_table_function"].sql)
+def table_function_batches(t):
+    words = F.arrow_udtf(_BatchWords, returnType="word STRING, pos INT")
+    found = words(t.part.select("p_name").asTable())
+    return found.groupBy("word", "pos").agg(F.count("*").alias("n"))
+
+
 def _weighted_fold(rows: pd.DataFrame) -> pd.DataFrame:
     """Accumulator of a weighted mean; retractions carry negative weights."""
     return rows.groupby("user_id", as_index=False, dropna=False)[["weighted", "weight"]].sum()

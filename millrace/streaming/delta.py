@@ -2,38 +2,31 @@
 
 The same windows as ``operators.delta_windows``: a key's window ends with the first row whose
 distance (sum of absolute values so far) is more than ``delta`` beyond the last cut.  State
-is six numbers per key, however long a window stays open; inside a batch the cuts are found by
-binary search on the running distance.  Rows without a time take no part.
+is six numbers per key, however long a window stays open.  Rows without a time take no part.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.streaming import processors as K
 
 
-def better(a: tuple | None, b: tuple | None) -> tuple | None:
-    """The larger value; of equals the smaller id.  Tuples are (minus value, id)."""
-    return min((x for x in (a, b) if x is not None), default=None)
+def _rank(best: tuple) -> tuple:
+    return (best[0], best[1] is None, best[1] or 0)
 
 
-def best_of(cents: pd.Series, ids: pd.Series) -> tuple | None:
-    known = cents.notna()
-    if not known.any():
-        return None
-    top = cents[known].max()
-    at = ids[known & (cents == top).fillna(False)]
-    return (-int(top), int(at.min())) if at.notna().any() else (-int(top), None)
+def better(a: tuple | None, b: tuple | None) -> tuple | None:
+    """The larger value; of equals the smaller id, a missing one last.  Tuples are (minus value, id)."""
+    return min((x for x in (a, b) if x is not None), key=_rank, default=None)
 
 
 class MaxPerDeltaWindow(StatefulProcessor):
     """One row for each window that ends; the open window stays in the state."""
 
     schema = "user_id BIGINT, window_no BIGINT, n BIGINT, top_cents BIGINT, top_event BIGINT"
+    reads = ("at", "event_id", "cents")
 
     def __init__(self, delta: int):
         self.delta = delta
@@ -42,25 +35,19 @@ class MaxPerDeltaWindow(StatefulProcessor):
         self.open = handle.getValueState("open", "dist BIGINT, base BIGINT, no BIGINT, n BIGINT, low BIGINT, top BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = K.in_order(rows)
-        cents = K.cents(pdf["value"])
-        known = self.open.exists()
-        dist, base, no, n, low, top = self.open.get() if known else (0, None, 0, 0, None, None)
-        reach = cents.fillna(0).abs().cumsum().to_numpy(dtype=np.int64) + dist
-        base = int(reach[0]) if base is None else base
-        best, out, start = None if low is None else (low, top), [], 0
-        while True:
-            cut = int(np.searchsorted(reach, base + self.delta, side="right"))
-            upto = min(cut + 1, len(pdf))
-            part = slice(start, upto)
-            best, n = better(best, best_of(cents.iloc[part], pdf["event_id"].iloc[part])), n + upto - start
-            if cut >= len(pdf):
-                break
-            out.append((K.key_of(key), no, n, best and -best[0], best and best[1]))
-            base, no, n, best, start = int(reach[cut]), no + 1, 0, None, upto
-        self.open.update((int(reach[-1]), base, no, n, best and best[0], best and best[1]))
-        if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in self.schema.split(", ")])
+        row, user = K.row_of(self.schema), K.key_of(key)
+        dist, base, no, n, low, top = self.open.get() or (0, None, 0, 0, None, None)
+        best, out = None if low is None else (low, top), []
+        for _, ident, cents in K.in_order(rows, self.reads):
+            dist, n = dist + abs(cents or 0), n + 1
+            base = dist if base is None else base
+            if cents is not None:
+                best = better(best, (-cents, ident))
+            if dist - base > self.delta:
+                out.append(row(user, no, n, best and -best[0], best and best[1]))
+                base, no, n, best = dist, no + 1, 0, None
+        self.open.update((dist, base, no, n, best and best[0], best and best[1]))
+        return iter(out)
 
     def close(self) -> None:
         pass

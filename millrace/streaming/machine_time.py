@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -42,10 +42,10 @@ def summed_arrivals(events: DataFrame) -> DataFrame:
     return rows.mapInPandas(_sum_batch, "user_id BIGINT, n BIGINT, cents BIGINT")
 
 
-def _totals(rows: Iterator[pd.DataFrame]) -> tuple[int, int]:
+def _totals(rows: Iterator[Row]) -> tuple[int, int]:
     n = cents = 0
-    for part in rows:
-        n, cents = n + int(part["n"].sum()), cents + int(part["cents"].sum())
+    for r in rows:
+        n, cents = n + r[-2], cents + r[-1]
     return n, cents
 
 
@@ -56,6 +56,7 @@ class MachineSilence(StatefulProcessor):
     """
 
     schema = "user_id BIGINT, seen_ms BIGINT, fired_ms BIGINT, n BIGINT"
+    reads = ("n", "cents")
 
     def __init__(self, limit_ms: int):
         self.limit = limit_ms
@@ -67,8 +68,9 @@ class MachineSilence(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         now = timerValues.getCurrentProcessingTimeInMs()
         n, _ = _totals(rows)
-        if self.last.exists():
-            seen, before, armed = self.last.get()
+        held = self.last.get()
+        if held is not None:
+            seen, before, armed = held
             n += before
             if armed:
                 self.handle.deleteTimer(seen + self.limit)
@@ -79,8 +81,7 @@ class MachineSilence(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         seen, n, _ = self.last.get()
         self.last.update((seen, n, False))
-        row = {"user_id": K.key_of(key), "seen_ms": seen, "fired_ms": timerValues.getCurrentProcessingTimeInMs(), "n": n}
-        yield pd.DataFrame([row]).astype({"user_id": "Int64"})
+        return iter([K.row_of(self.schema)(K.key_of(key), seen, timerValues.getCurrentProcessingTimeInMs(), n)])
 
     def close(self) -> None:
         pass
@@ -89,11 +90,13 @@ class MachineSilence(StatefulProcessor):
 class MachineWindows(StatefulProcessor):
     """Tumbling, sliding and session windows of the machine's clock, and the arrivals they count.
 
-    State: one accumulator per open window.  A window closes at its end, a session ``gap``
-    after its last arrival; an arrival at that very moment opens the next one.
+    State: a list with one accumulator per open window, and one timer for the first end.  A
+    window closes at its end, a session ``gap`` after its last arrival; an arrival at that
+    very moment opens the next one.
     """
 
     schema = "user_id BIGINT, kind STRING, start_ms BIGINT, end_ms BIGINT, n BIGINT, cents BIGINT"
+    reads = ("n", "cents")
 
     def __init__(self, size_ms: int, slide_ms: int, gap_ms: int):
         if size_ms % slide_ms:
@@ -102,39 +105,47 @@ class MachineWindows(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "kind STRING, start BIGINT", "end BIGINT, n BIGINT, cents BIGINT")
+        self.open = handle.getListState("open", "kind STRING, start BIGINT, end BIGINT, n BIGINT, cents BIGINT")
 
-    def _add(self, kind: str, start: int, end: int, n: int, cents: int) -> None:
-        held = self.open.getValue((kind, start)) if self.open.containsKey((kind, start)) else (end, 0, 0)
-        self.open.updateValue((kind, start), (end, held[1] + n, held[2] + cents))
-        self.handle.registerTimer(end)
+    def _parted(self, key, now: int) -> tuple[list[Row], dict, int | None]:
+        """Windows that end by ``now`` as rows, the open ones by kind and start, and the first end of all."""
+        held = [tuple(w) for w in self.open.get()]
+        row, user = K.row_of(self.schema), K.key_of(key)
+        due = [row(user, *w) for w in sorted(held) if w[2] <= now]
+        return due, {w[:2]: w[2:] for w in held if w[2] > now}, min((w[2] for w in held), default=None)
 
-    def _closed(self, key, now: int) -> list[tuple]:
-        """Take out the windows that end by ``now``."""
-        due = [(k[0], k[1], v[0], v[1], v[2]) for k, v in self.open.iterator() if v[0] <= now]
-        for kind, start, *_ in due:
-            self.open.removeKey((kind, start))
-        return [(K.key_of(key), *w) for w in sorted(due)]
-
-    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=["user_id", "kind", "start_ms", "end_ms", "n", "cents"]).astype({"user_id": "Int64"})
+    def _keep(self, windows: dict) -> None:
+        K.put_all(self.open, [(*name, *held) for name, held in windows.items()])
 
     def handleInputRows(self, key, rows, timerValues):
         now = timerValues.getCurrentProcessingTimeInMs()
         n, cents = _totals(rows)
-        out = self._closed(key, now)  # a batch may start after the end and before the timer is served
-        self._add("tumbling", now - now % self.size, now - now % self.size + self.size, n, cents)
+        # A batch may start after an end and before the timer is served.
+        out, windows, timer = self._parted(key, now)
+
+        def add(kind: str, start: int, end: int) -> None:
+            _, held_n, held_cents = windows.get((kind, start), (end, 0, 0))
+            windows[kind, start] = (end, held_n + n, held_cents + cents)
+
+        add("tumbling", now - now % self.size, now - now % self.size + self.size)
         last = now - now % self.slide
         for start in range(last - self.size + self.slide, last + 1, self.slide):
-            self._add("sliding", start, start + self.size, n, cents)
-        session = next((k[1] for k, _ in self.open.iterator() if k[0] == "session"), now)
-        self._add("session", session, now + self.gap, n, cents)
-        yield self._frame([*out, (K.key_of(key), "arrival", now, now, n, cents)])
+            add("sliding", start, start + self.size)
+        add("session", next((start for kind, start in windows if kind == "session"), now), now + self.gap)
+        self._keep(windows)
+        following = min(end for end, _, _ in windows.values())
+        if timer != following:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(following)
+        return iter([*out, K.row_of(self.schema)(K.key_of(key), "arrival", now, now, n, cents)])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        due = self._closed(key, timerValues.getCurrentProcessingTimeInMs())
-        if due:  # windows of one end share a timer, and an extended session leaves its old one
-            yield self._frame(due)
+        out, windows, _ = self._parted(key, timerValues.getCurrentProcessingTimeInMs())
+        self._keep(windows)
+        if windows:
+            self.handle.registerTimer(min(end for end, _, _ in windows.values()))
+        return iter(out)
 
     def close(self) -> None:
         pass

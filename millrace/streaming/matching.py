@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -29,6 +28,8 @@ NO_NODE = -1
 
 
 class FollowedBy(StatefulProcessor):
+    reads = ("seen", "at", "tie", "event_id", "flags")
+
     def __init__(self, stages: int, within_micros: int, rough_micros: int = 0):
         self.stages, self.within, self.rough = stages, within_micros, rough_micros
         self.schema = "user_id BIGINT, " + "".join(f"event_id_{i + 1} BIGINT, " for i in range(stages)) + "matched BOOLEAN"
@@ -37,50 +38,37 @@ class FollowedBy(StatefulProcessor):
         self.handle = handle
         self.queue = handle.getListState("queue", "seen BIGINT, at BIGINT, tie BIGINT, id BIGINT, flags BIGINT")
         self.partial = handle.getListState("partial", "stage INT, node BIGINT, start BIGINT, at BIGINT")
-        self.nodes = handle.getMapState("nodes", "node BIGINT", "event BIGINT, before BIGINT")
+        self.nodes = handle.getListState("nodes", "node BIGINT, event BIGINT, before BIGINT")
         self.wake = handle.getValueState("wake", "at BIGINT")
 
-    def _wake_at(self, micros: int) -> None:
+    def _wake_at(self, micros: int, known: tuple | None) -> None:
         at = micros // 1000 + 1
-        if self.wake.exists():
-            known = self.wake.get()[0]
-            if known <= at:
+        if known is not None:
+            if known[0] <= at:
                 return
-            self.handle.deleteTimer(known)
+            self.handle.deleteTimer(known[0])
         self.handle.registerTimer(at)
         self.wake.update((at,))
 
     def handleInputRows(self, key, rows, timerValues):
-        earliest = None
-        for part in rows:
-            part = part[part["ts"].notna() & (part["flags"] > 0)]
-            if not len(part):
-                continue
-            seen = K.micros(part["ts"])
-            self.queue.appendList(
-                [
-                    tuple(map(K._plain, r))
-                    for r in zip(seen, part["at"], part["tie"], part["event_id"], part["flags"])
-                ]
-            )
-            low = int(seen.min())
-            earliest = low if earliest is None else min(low, earliest)
-        if earliest is not None:
-            self._wake_at(earliest)
+        width = len(self.reads)
+        taken = [row for row in (r[-width:] for r in rows) if row[0] is not None and row[4] > 0]
+        if taken:
+            self.queue.appendList(taken)
+            self._wake_at(min(row[0] for row in taken), self.wake.get())
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         clock = timerValues.getCurrentWatermarkInMs() * 1000
-        self.wake.clear()
-        queue = [tuple(r) for r in self.queue.get()] if self.queue.exists() else []
+        queue = [tuple(r) for r in self.queue.get()]
         # A row is in its place once nothing of its pattern time can still come.
         edge = min((r[1] for r in queue if r[0] > clock), default=clock + 1)
         edge = min(edge, clock + 1 - self.rough)
         ready = sorted((r for r in queue if r[1] < edge), key=lambda r: tuple((x is None, x or 0) for x in r[1:4]))
         later = [r for r in queue if r[1] >= edge]
-        partial = [tuple(r) for r in self.partial.get()] if self.partial.exists() else []
-        nodes = {k[0]: tuple(v) for k, v in self.nodes.iterator()}
-        known = set(nodes)
+        partial = [tuple(r) for r in self.partial.get()]
+        nodes = {node: (event, before) for node, event, before in self.nodes.get()}
+        known, waited = set(nodes), bool(partial)
         partial, out = self._advance(ready, partial, nodes)
         alive = []
         for p in partial:
@@ -88,16 +76,16 @@ class FollowedBy(StatefulProcessor):
                 out.append((p[2], *[None] * (self.stages - 1), False))
             else:
                 alive.append(p)
-        self._keep(alive, nodes, known)
-        self.queue.put(later) if later else self.queue.clear()
+        self._keep(alive, waited, nodes, known)
+        if len(later) < len(queue):
+            K.put_all(self.queue, later)
         waits = [r[1] + self.rough for r in later] + [p[3] + self.within + self.rough for p in alive]
         if waits:
-            self._wake_at(min(waits))
-        if out:
-            names = [f"event_id_{i + 1}" for i in range(self.stages)]
-            found = pd.DataFrame(out, columns=[*names, "matched"]).astype({n: "Int64" for n in names})
-            found.insert(0, "user_id", pd.Series([K.key_of(key)] * len(found), dtype="Int64"))
-            yield found
+            self._wake_at(min(waits), None)
+        else:
+            self.wake.clear()
+        row, user = K.row_of(self.schema), K.key_of(key)
+        return iter([row(user, *found) for found in out])
 
     def _advance(self, ready: list, partial: list, nodes: dict) -> tuple[list, list]:
         """Take rows in order; the partial matches left and the finished ones."""
@@ -132,18 +120,17 @@ class FollowedBy(StatefulProcessor):
             path.append(event)
         return path[::-1]
 
-    def _keep(self, alive: list, nodes: dict, known: set) -> None:
+    def _keep(self, alive: list, waited: bool, nodes: dict, known: set) -> None:
         used = set()
         for p in alive:
             node = p[1]
             while node != NO_NODE and node not in used:
                 used.add(node)
                 node = nodes[node][1]
-        for node in known - used:
-            self.nodes.removeKey((node,))
-        for node in used - known:
-            self.nodes.updateValue((node,), nodes[node])
-        self.partial.put(alive) if alive else self.partial.clear()
+        if used != known:
+            K.put_all(self.nodes, [(node, *nodes[node]) for node in used])
+        if alive or waited:
+            K.put_all(self.partial, alive)
 
     def close(self) -> None:
         pass
@@ -167,7 +154,8 @@ def followed_by(
         flags += F.when(c, 1 << i).otherwise(0)
     tie = F.lit(0) if comparator is None else comparator
     at = F.unix_micros(F.col("ts") if time is None else time)
-    rows = stream.select("user_id", "ts", "event_id", at.alias("at"), tie.cast("bigint").alias("tie"), flags.alias("flags"))
+    seen = F.unix_micros("ts").alias("seen")
+    rows = stream.select("user_id", "ts", seen, "event_id", at.alias("at"), tie.cast("bigint").alias("tie"), flags.alias("flags"))
     processor = FollowedBy(len(conditions), within_seconds * 1_000_000, rough_seconds * 1_000_000)
     # The test names the time, so that it stays above the watermark and the clock sees every row.
     taken = rows.where("flags > 0 OR ts < TIMESTAMP '0001-01-01 00:00:00'")

@@ -1,29 +1,46 @@
-"""Keyed stateful processors for ``transformWithStateInPandas``.
+"""Keyed stateful processors for ``transformWithState``.
 
-A processor sees the rows of one key of one micro-batch.  Rows are put in
-``(ts, event_id)`` order first, those without a time last; the source's slices bound
+A processor sees the rows of one key of one micro-batch, as plain rows of the columns it
+names in ``reads``: a key costs its rows and a few state calls, and no data frame.  Rows
+are put in ``(ts, event_id)`` order first, those without a time last; the source's slices bound
 a micro-batch and with it what a key can bring at once, while the state kept between batches
 is a few fixed-size values unless the docstring says otherwise.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from millrace.functions.exact import units
+
+
+def _column(df: DataFrame, name: str):
+    """A column of the rows, or one that processors share: microseconds of ``ts``, cents of ``value``."""
+    if name == "at" and name not in df.columns:
+        return F.unix_micros("ts").alias(name)
+    if name == "cents" and name not in df.columns:
+        return F.when(~F.isnan("value"), units("value")).alias(name)
+    return F.col(name)
+
+
 def apply(df: DataFrame, key: str, processor: StatefulProcessor, schema: str, time: str = "None") -> DataFrame:
     """Run a processor per key in append mode; rows without a key are a key of their own.
 
     The worker takes rows of a missing key for one group each, so the key is made
-    whole and a flag tells whether it was missing.
+    whole and a flag tells whether it was missing.  Only the columns that the processor
+    reads are shuffled, last in a row; ``ts`` stays for the watermark.
     """
-    whole = F.coalesce(F.col(key), F.lit(0).cast(df.schema[key].dataType))
-    flagged = df.withColumns({"__no_key": F.col(key).isNull(), key: whole})
-    return flagged.groupBy(key, "__no_key").transformWithStateInPandas(
+    whole = F.coalesce(F.col(key), F.lit(0).cast(df.schema[key].dataType)).alias(key)
+    clock = [F.col("ts")] if "ts" in df.columns else []
+    read = [_column(df, c) for c in processor.reads]
+    flagged = df.select(whole, F.col(key).isNull().alias("__no_key"), *clock, *read)
+    return flagged.groupBy(key, "__no_key").transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode=time
     )
 
@@ -33,14 +50,28 @@ def key_of(key: tuple):
     return None if key[1] else key[0]
 
 
-def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    pdf = pd.concat(list(rows), ignore_index=True)
-    return pdf.sort_values(["ts", "event_id"], ignore_index=True)
+def row_of(schema: str) -> Row:
+    """A maker of rows of this schema."""
+    return Row(*(c.split()[0] for c in schema.split(", ")))
+
+
+def _place(row: tuple) -> tuple:
+    at, ident = row[0], row[1]
+    return (at is None, at or 0, ident is None, ident or 0)
 
 
-def cents(value: pd.Series) -> pd.Series:
-    """Whole cents; a missing value stays missing."""
-    return (value * 100).round().astype("Int64")
+def in_order(rows: Iterable[Row], reads: tuple) -> list[tuple]:
+    """What the processor reads of each row, ``at`` and ``event_id`` first, in their order."""
+    width = len(reads)
+    return sorted((r[-width:] for r in rows), key=_place)
+
+
+def put_all(state, values: list[tuple]) -> None:
+    """A list state with just these values; an empty one is cleared."""
+    if values:
+        state.put(values)
+    else:
+        state.clear()
 
 
 def micros(ts: pd.Series) -> pd.Series:
@@ -48,14 +79,11 @@ def micros(ts: pd.Series) -> pd.Series:
     return ts.astype("datetime64[us]").astype("int64").astype("Int64").where(ts.notna())
 
 
-def running_total(amount: pd.Series, base: int | None) -> pd.Series:
+def grown(total: int | None, amount: int | None) -> int | None:
     """Sum so far, missing values skipped; missing until there is a first value."""
-    known = amount.notna().cumsum() > (0 if base is None else -1)
-    return (amount.fillna(0).cumsum() + (base or 0)).where(known)
-
-
-def _plain(value):
-    return None if value is None or pd.isna(value) else int(value)
+    if amount is None:
+        return total
+    return amount if total is None else total + amount
 
 
 class RunningSum(StatefulProcessor):
@@ -65,6 +93,7 @@ class RunningSum(StatefulProcessor):
     """
 
     schema = "event_id BIGINT, user_id BIGINT, running_cents BIGINT"
+    reads = ("at", "event_id", "cents")
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
@@ -73,11 +102,14 @@ class RunningSum(StatefulProcessor):
         self.total = handle.getValueState("total", "total BIGINT", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = in_order(rows)
-        base = self.total.get()[0] if self.total.exists() else None
-        sums = running_total(cents(pdf["value"]), base)
-        self.total.update((_plain(sums.iloc[-1]),))
-        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key_of(key), "running_cents": sums})
+        row, user = row_of(self.schema), key_of(key)
+        (total,) = self.total.get() or (None,)
+        out = []
+        for _, ident, cents in in_order(rows, self.reads):
+            total = grown(total, cents)
+            out.append(row(ident, user, total))
+        self.total.update((total,))
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -90,16 +122,20 @@ class CountedSum(StatefulProcessor):
     """
 
     schema = RunningSum.schema
+    reads = RunningSum.reads
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.total = handle.getValueState("total", "total BIGINT, n BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = in_order(rows)
-        base, n = self.total.get() if self.total.exists() else (None, 0)
-        sums = running_total(cents(pdf["value"]), base)
-        self.total.update((_plain(sums.iloc[-1]), (n or 0) + len(pdf)))
-        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key_of(key), "running_cents": sums})
+        row, user = row_of(self.schema), key_of(key)
+        total, n = self.total.get() or (None, 0)
+        out = []
+        for _, ident, cents in in_order(rows, self.reads):
+            total = grown(total, cents)
+            out.append(row(ident, user, total))
+        self.total.update((total, (n or 0) + len(out)))
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -109,6 +145,7 @@ class EventTimeTtlSum(StatefulProcessor):
     """Running sum whose state expires once ``last_access + ttl <= now`` in event time."""
 
     schema = "event_id BIGINT, user_id BIGINT, running_cents BIGINT"
+    reads = ("at", "event_id", "cents")
 
     def __init__(self, ttl_micros: int):
         self.ttl = ttl_micros
@@ -117,19 +154,16 @@ class EventTimeTtlSum(StatefulProcessor):
         self.state = handle.getValueState("s", "total BIGINT, last BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = in_order(rows)
-        now = micros(pdf["ts"])
-        total, last = self.state.get() if self.state.exists() else (None, None)
-        gap = now.diff()
-        if last is not None:
-            gap.iloc[0] = now.iloc[0] - last
-        epoch = (gap >= self.ttl).fillna(False).astype("int64").cumsum()
-        amount = cents(pdf["value"])
-        bases = [total if e == 0 else None for e in epoch.unique()]
-        parts = [running_total(amount[epoch == e], b) for e, b in zip(epoch.unique(), bases)]
-        sums = pd.concat(parts)
-        self.state.update((_plain(sums.iloc[-1]), _plain(now.iloc[-1])))
-        yield pd.DataFrame({"event_id": pdf["event_id"], "user_id": key_of(key), "running_cents": sums})
+        row, user = row_of(self.schema), key_of(key)
+        total, last = self.state.get() or (None, None)
+        out = []
+        for at, ident, cents in in_order(rows, self.reads):
+            if at is not None and last is not None and at - last >= self.ttl:
+                total = None
+            total, last = grown(total, cents), at
+            out.append(row(ident, user, total))
+        self.state.update((total, last))
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -143,6 +177,7 @@ class CountTrigger(StatefulProcessor):
     """
 
     schema = "user_id BIGINT, window_no BIGINT, cents BIGINT, first_event BIGINT"
+    reads = ("at", "event_id", "cents")
 
     def __init__(self, n: int, purge: bool):
         self.n, self.purge = n, purge
@@ -151,35 +186,19 @@ class CountTrigger(StatefulProcessor):
         self.state = handle.getValueState("w", "seen BIGINT, cents BIGINT, first BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = in_order(rows)
-        seen, held, first = self.state.get() if self.state.exists() else (0, 0, None)
-        at = pd.Series(range(seen, seen + len(pdf)))
-        window = at // self.n
-        amount = cents(pdf["value"]).fillna(0).astype("int64")
-        ids = pdf["event_id"].astype("Int64")
-        if self.purge:
-            open_window = seen // self.n
-            sums = amount.groupby(window).cumsum() + (window == open_window) * held
-            firsts = ids.iloc[(window * self.n - seen).clip(lower=0)].reset_index(drop=True)
-            if seen % self.n:
-                firsts = firsts.where(window != open_window, first)
-        else:
-            sums = amount.cumsum() + held
-            firsts = pd.Series(_plain(first if seen else ids.iloc[0]), index=pdf.index, dtype="Int64")
-        fired = (at + 1) % self.n == 0
-        total = seen + len(pdf)
-        closed = self.purge and total % self.n == 0
-        self.state.update(
-            (total, 0 if closed else int(sums.iloc[-1]), None if closed else _plain(firsts.iloc[-1]))
-        )
-        yield pd.DataFrame(
-            {
-                "user_id": key_of(key),
-                "window_no": window[fired],
-                "cents": sums[fired],
-                "first_event": firsts[fired],
-            }
-        )
+        row, user = row_of(self.schema), key_of(key)
+        seen, held, first = self.state.get() or (0, 0, None)
+        out = []
+        for _, ident, cents in in_order(rows, self.reads):
+            if seen == 0 or self.purge and seen % self.n == 0:
+                first = ident
+            held, seen = held + (cents or 0), seen + 1
+            if seen % self.n == 0:
+                out.append(row(user, seen // self.n - 1, held, first))
+                if self.purge:
+                    held, first = 0, None
+        self.state.update((seen, held, first))
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -192,31 +211,21 @@ class Previous(StatefulProcessor):
         "event_id BIGINT, user_id BIGINT, event_type STRING, previous_state STRING, "
         "previous_id BIGINT, waited_us BIGINT"
     )
+    reads = ("at", "event_id", "event_type")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "kind STRING, id BIGINT, at BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = in_order(rows)
-        at = micros(pdf["ts"])
-        known = self.last.exists()
-        kind, ident, when = self.last.get() if known else (None, None, None)
-        previous_at = at.shift(1)
-        previous_id = pdf["event_id"].astype("Int64").shift(1)
-        previous_kind = pdf["event_type"].shift(1)
-        if known:
-            previous_at.iloc[0], previous_id.iloc[0], previous_kind.iloc[0] = when, ident, kind
-        self.last.update((pdf["event_type"].iloc[-1], _plain(pdf["event_id"].iloc[-1]), _plain(at.iloc[-1])))
-        yield pd.DataFrame(
-            {
-                "event_id": pdf["event_id"],
-                "user_id": key_of(key),
-                "event_type": pdf["event_type"],
-                "previous_state": previous_kind,
-                "previous_id": previous_id,
-                "waited_us": at - previous_at,
-            }
-        )
+        row, user = row_of(self.schema), key_of(key)
+        before, before_id, before_at = self.last.get() or (None, None, None)
+        out = []
+        for at, ident, kind in in_order(rows, self.reads):
+            waited = None if at is None or before_at is None else at - before_at
+            out.append(row(ident, user, kind, before, before_id, waited))
+            before, before_id, before_at = kind, ident, at
+        self.last.update((before, before_id, before_at))
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -230,6 +239,7 @@ class Silence(StatefulProcessor):
     """
 
     schema = "user_id BIGINT, event_id BIGINT"
+    reads = ("at", "event_id")
 
     def __init__(self, limit_ms: int):
         self.limit = limit_ms
@@ -239,27 +249,28 @@ class Silence(StatefulProcessor):
         self.last = handle.getValueState("last", "id BIGINT, at BIGINT, reported BOOLEAN")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = in_order(rows)
-        at = micros(pdf["ts"]) // 1000
-        ids, times = [_plain(x) for x in pdf["event_id"]], [_plain(x) for x in at]
-        if self.last.exists():
-            ident, when, reported = self.last.get()
+        turns = [(ident, None if at is None else at // 1000) for at, ident in in_order(rows, self.reads)]
+        held = self.last.get()
+        if held is not None:
+            ident, when, reported = held
             if not reported:
                 if when is not None:
                     self.handle.deleteTimer(when + self.limit)
-                ids, times = [ident, *ids], [when, *times]
-        silent = [i for i, a, b in zip(ids, times, times[1:]) if a is None or b is None or b - a > self.limit]
-        self.last.update((ids[-1], times[-1], times[-1] is None))
-        if times[-1] is None:  # without a time there is nothing to wait for
-            silent.append(ids[-1])
+                turns = [(ident, when), *turns]
+        silent = [i for (i, a), (_, b) in zip(turns, turns[1:]) if a is None or b is None or b - a > self.limit]
+        ident, when = turns[-1]
+        self.last.update((ident, when, when is None))
+        if when is None:  # without a time there is nothing to wait for
+            silent.append(ident)
         else:
-            self.handle.registerTimer(times[-1] + self.limit)
-        yield pd.DataFrame({"user_id": pd.Series([key_of(key)] * len(silent), dtype="Int64"), "event_id": pd.Series(silent, dtype="Int64")})
+            self.handle.registerTimer(when + self.limit)
+        row, user = row_of(self.schema), key_of(key)
+        return iter([row(user, i) for i in silent])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         ident, when, _ = self.last.get()
         self.last.update((ident, when, True))
-        yield pd.DataFrame({"user_id": [key_of(key)], "event_id": [ident]})
+        return iter([row_of(self.schema)(key_of(key), ident)])
 
     def close(self) -> None:
         pass
@@ -269,20 +280,23 @@ class ErrorsBetween(StatefulProcessor):
     """Two inputs sharing keyed state: errors (side 0) counted until a purchase (side 1)."""
 
     schema = "event_id BIGINT, user_id BIGINT, errors_before BIGINT"
+    reads = ("at", "event_id", "side")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.open = handle.getValueState("open", "n BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = in_order(rows)
-        held = self.open.get()[0] if self.open.exists() else 0
-        buys = pdf["side"] == 1
-        block = buys.cumsum().shift(1, fill_value=0)
-        errors = (~buys).astype("int64").groupby(block).cumsum() + (block == 0) * held
-        self.open.update((0 if buys.iloc[-1] else int(errors.iloc[-1]),))
-        yield pd.DataFrame(
-            {"event_id": pdf["event_id"][buys], "user_id": key_of(key), "errors_before": errors[buys]}
-        )
+        row, user = row_of(self.schema), key_of(key)
+        (errors,) = self.open.get() or (0,)
+        out = []
+        for _, ident, side in in_order(rows, self.reads):
+            if side == 1:
+                out.append(row(ident, user, errors))
+                errors = 0
+            else:
+                errors += 1
+        self.open.update((errors,))
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -295,6 +309,7 @@ class StrictSequence(StatefulProcessor):
     """
 
     schema = "user_id BIGINT, event_id_1 BIGINT, event_id_2 BIGINT, event_id_3 BIGINT"
+    reads = ("at", "event_id", "event_type")
 
     def __init__(self, kinds: list[str], within_micros: int):
         self.kinds, self.within = kinds, within_micros
@@ -303,21 +318,17 @@ class StrictSequence(StatefulProcessor):
         self.tail = handle.getListState("tail", "kind STRING, id BIGINT, at BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = in_order(rows)
-        at = micros(pdf["ts"])
-        n = len(self.kinds)
-        held = [tuple(r) for r in self.tail.get()] if self.tail.exists() else []
-        seen = pd.DataFrame(
-            held + list(zip(pdf["event_type"], map(_plain, pdf["event_id"]), at)), columns=["kind", "id", "at"]
-        )
-        seen = seen.astype({"id": "Int64", "at": "Int64"})
-        found = (seen["at"] - seen["at"].shift(n - 1) <= self.within).fillna(False).astype(bool)
-        for back, kind in enumerate(reversed(self.kinds)):
-            found &= seen["kind"].shift(back) == kind
-        keep = seen.tail(n - 1)
-        self.tail.put([(k, _plain(i), _plain(a)) for k, i, a in keep.itertuples(index=False)])
-        ids = [seen["id"].shift(n - 1 - i)[found] for i in range(n)]
-        yield pd.DataFrame({"user_id": key_of(key), **{f"event_id_{i + 1}": v for i, v in enumerate(ids)}})
+        row, user, n = row_of(self.schema), key_of(key), len(self.kinds)
+        seen = [*self.tail.get(), *((kind, ident, at) for at, ident, kind in in_order(rows, self.reads))]
+        out = []
+        for end in range(n, len(seen) + 1):
+            run = seen[end - n : end]
+            if [kind for kind, _, _ in run] == self.kinds:
+                first, last = run[0][2], run[-1][2]
+                if first is not None and last is not None and last - first <= self.within:
+                    out.append(row(user, *(ident for _, ident, _ in run)))
+        self.tail.put(seen[-(n - 1) :])
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -327,20 +338,23 @@ class KeepFirst(StatefulProcessor):
     """First row per key and event type; state: the types already seen."""
 
     schema = "event_id BIGINT, user_id BIGINT, event_type STRING"
+    reads = ("at", "event_id", "event_type")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getMapState("seen", "known BOOLEAN, kind STRING", "id BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
-        firsts = in_order(rows).drop_duplicates("event_type")
-        kinds = [(isinstance(k, str), k if isinstance(k, str) else "") for k in firsts["event_type"]]
-        new = [not self.seen.containsKey(k) for k in kinds]
-        fresh = firsts[new]
-        for kind, ident in zip([k for k, n in zip(kinds, new) if n], fresh["event_id"]):
-            self.seen.updateValue(kind, (_plain(ident),))
-        yield pd.DataFrame(
-            {"event_id": fresh["event_id"], "user_id": key_of(key), "event_type": fresh["event_type"]}
-        )
+        row, user = row_of(self.schema), key_of(key)
+        firsts = {}
+        for _, ident, kind in in_order(rows, self.reads):
+            firsts.setdefault(kind, ident)
+        out = []
+        for kind, ident in firsts.items():
+            place = (kind is not None, kind or "")
+            if not self.seen.containsKey(place):
+                self.seen.updateValue(place, (ident,))
+                out.append(row(ident, user, kind))
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -356,6 +370,7 @@ class StateKinds(StatefulProcessor):
     schema = (
         "user_id BIGINT, n BIGINT, last_ids STRING, counts STRING, top DOUBLE, cents BIGINT"
     )
+    reads = ("at", "event_id", "event_type", "value", "cents")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.n = handle.getValueState("n", "n BIGINT")
@@ -367,35 +382,27 @@ class StateKinds(StatefulProcessor):
     @staticmethod
     def _fold(state, value, fold):
         """Reducing and aggregating state: a value state plus a fold; None adds nothing."""
-        held = state.get()[0] if state.exists() else None
+        (held,) = state.get() or (None,)
         merged = value if held is None else held if value is None else fold(held, value)
-        if merged is not None:
+        if value is not None:
             state.update((merged,))
         return merged
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = in_order(rows)
-        n = self._fold(self.n, len(pdf), lambda a, b: a + b)
-        known = pdf["value"].dropna()
-        top = self._fold(self.top, float(known.max()) if len(known) else None, max)
-        total = self._fold(self.cents, int(cents(known).sum()) if len(known) else None, lambda a, b: a + b)
-        held = [r[0] for r in self.ids.get()] if self.ids.exists() else []
-        ids = (held + [_plain(i) for i in pdf["event_id"]])[-3:]
+        turns = in_order(rows, self.reads)
+        n = self._fold(self.n, len(turns), lambda a, b: a + b)
+        known = [r for r in turns if r[3] is not None and r[3] == r[3]]
+        top = self._fold(self.top, max((float(r[3]) for r in known), default=None), max)
+        total = self._fold(self.cents, sum(r[4] for r in known) if known else None, lambda a, b: a + b)
+        ids = [*(r[0] for r in self.ids.get()), *(r[1] for r in turns)][-3:]
         self.ids.put([(i,) for i in ids])
-        for kind, c in pdf["event_type"].value_counts().items():
-            before = self.counts.getValue((kind,))[0] if self.counts.containsKey((kind,)) else 0
-            self.counts.updateValue((kind,), (before + int(c),))
-        counts = sorted((k[0], v[0]) for k, v in self.counts.iterator())
-        yield pd.DataFrame(
-            {
-                "user_id": [key_of(key)],
-                "n": [n],
-                "last_ids": [",".join(str(i) for i in ids if i is not None)],
-                "counts": [",".join(f"{k}={c}" for k, c in counts)],
-                "top": [top],
-                "cents": [total],
-            }
-        )
+        counts = {k[0]: v[0] for k, v in self.counts.iterator()}
+        for kind, c in Counter(r[2] for r in turns if r[2] is not None).items():
+            counts[kind] = counts.get(kind, 0) + c
+            self.counts.updateValue((kind,), (counts[kind],))
+        last = ",".join(str(i) for i in ids if i is not None)
+        each = ",".join(f"{k}={c}" for k, c in sorted(counts.items()))
+        return iter([row_of(self.schema)(key_of(key), n, last, each, top, total)])
 
     def close(self) -> None:
         pass
@@ -408,6 +415,7 @@ class BufferingSink(StatefulProcessor):
     """
 
     schema = "event_id BIGINT, flushed_by STRING"
+    reads = ("at", "event_id")
 
     def __init__(self, size: int, idle_ms: int):
         self.size, self.idle = size, idle_ms
@@ -418,30 +426,32 @@ class BufferingSink(StatefulProcessor):
         self.timer = handle.getValueState("timer", "at BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = in_order(rows)
-        times = pdf["ts"].dropna()
-        latest = int(times.iloc[-1].value // 1_000_000) if len(times) else timerValues.getCurrentWatermarkInMs()
-        held = [r[0] for r in self.held.get()] if self.held.exists() else []
-        ids = held + [_plain(i) for i in pdf["event_id"]]
+        turns = in_order(rows, self.reads)
+        times = [at for at, _ in turns if at is not None]
+        latest = times[-1] // 1000 if times else timerValues.getCurrentWatermarkInMs()
+        ids = [*(r[0] for r in self.held.get()), *(ident for _, ident in turns)]
         full = len(ids) // self.size * self.size
         rest = ids[full:]
         if rest:
             self.held.put([(i,) for i in rest])
         else:
             self.held.clear()
-        if self.timer.exists():
-            self.handle.deleteTimer(self.timer.get()[0])
+        timer = self.timer.get()
+        if timer is not None:
+            self.handle.deleteTimer(timer[0])
             self.timer.clear()
         if rest:
             self.handle.registerTimer(latest + self.idle)
             self.timer.update((latest + self.idle,))
-        yield pd.DataFrame({"event_id": pd.Series(ids[:full], dtype="Int64"), "flushed_by": "size"})
+        row = row_of(self.schema)
+        return iter([row(i, "size") for i in ids[:full]])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        rest = [r[0] for r in self.held.get()] if self.held.exists() else []
+        row = row_of(self.schema)
+        rest = [row(r[0], "timer") for r in self.held.get()]
         self.held.clear()
         self.timer.clear()
-        yield pd.DataFrame({"event_id": pd.Series(rest, dtype="Int64"), "flushed_by": "timer"})
+        return iter(rest)
 
     def close(self) -> None:
         pass

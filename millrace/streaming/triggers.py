@@ -1,8 +1,9 @@
 """Window triggers on keyed streams: when a window reports, and whether it then forgets.
 
 Rows are first summed per (key, pane) where they are read, so a key with most of the
-rows costs one small row per pane and input batch.  The keyed state is one accumulator
-per open pane; nothing holds a key's rows.
+rows costs one small row per pane and input batch.  The keyed state is one value per key, the
+accumulators of its open panes, read and written once per batch, and one timer, for its
+next report; nothing holds a key's rows.
 
 * ``event_time``: one report when the watermark passes the window's end.
 * ``continuous``: a report at every pane border from the first row on, up to the end.
@@ -27,6 +28,7 @@ from millrace.functions.exact import units
 from millrace.streaming import processors as K
 
 KINDS = ("event_time", "continuous", "never")
+OPEN = ", ".join(f"{c} ARRAY<BIGINT>" for c in ("pane", "n", "cents", "window", "at"))
 
 
 def pane_rows(events: DataFrame, pane_ms: int | None) -> DataFrame:
@@ -53,9 +55,10 @@ def summed_panes(events: DataFrame, pane_ms: int | None) -> DataFrame:
 
 
 class PaneTrigger(StatefulProcessor):
-    """Accumulators per pane of a key, and at most one waiting timer per open window."""
+    """Accumulators per pane of a key, and the next report of each open window."""
 
-    schema = "user_id BIGINT, window_start TIMESTAMP, fired_at TIMESTAMP, n BIGINT, cents BIGINT"
+    schema = "user_id BIGINT, window_ms BIGINT, fired_ms BIGINT, n BIGINT, cents BIGINT"
+    reads = ("pane", "n", "cents")
 
     def __init__(self, kind: str, window_ms: int, pane_ms: int, purge: bool = False):
         if kind not in KINDS or window_ms % pane_ms:
@@ -64,68 +67,73 @@ class PaneTrigger(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.panes = handle.getMapState("panes", "pane BIGINT", "n BIGINT, cents BIGINT")
-        self.waiting = handle.getMapState("waiting", "window BIGINT", "at BIGINT")
-
-    def _wait(self, window: int, at: int) -> None:
-        self.handle.registerTimer(at)
-        self.waiting.updateValue((window,), (at,))
+        self.open = handle.getValueState("open", OPEN)
+
+    def _held(self) -> tuple[dict, dict]:
+        """Accumulators by pane, and the next report by window."""
+        pane, n, cents, window, at = self.open.get() or ([],) * 5
+        return dict(zip(pane, zip(n, cents))), dict(zip(window, at))
+
+    def _keep(self, panes: dict, waiting: dict) -> None:
+        if panes or waiting:
+            sums = list(panes.values())
+            held = (list(panes), [n for n, _ in sums], [c for _, c in sums], list(waiting), list(waiting.values()))
+            self.open.update(held)
+        else:
+            self.open.clear()
 
     def handleInputRows(self, key, rows, timerValues):
-        for part in rows:
-            sums = part.groupby("pane")[["n", "cents"]].sum()
-            for pane, n, cents in sums.itertuples():
-                held = self.panes.getValue((pane,)) if self.panes.containsKey((pane,)) else (0, 0)
-                self.panes.updateValue((int(pane),), (held[0] + int(n), held[1] + int(cents)))
-                if self.kind != "never":
-                    self._expect(int(pane))
+        panes, waiting = self._held()
+        fresh, timer = set(), min(waiting.values(), default=None)
+        for r in rows:
+            pane, n, cents = r[-3:]
+            held = panes.get(pane, (0, 0))
+            panes[pane] = (held[0] + n, held[1] + (cents or 0))
+            fresh.add(pane)
+        for pane in fresh if self.kind != "never" else ():
+            window = pane - pane % self.window
+            at = window + self.window if self.kind == "event_time" else pane + self.pane
+            # An earlier pane may come to light: the window reports from there on.
+            waiting[window] = min(at, waiting.get(window, at))
+        self._keep(panes, waiting)
+        following = min(waiting.values(), default=None)
+        if timer != following:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(following)
         return iter(())
 
-    def _expect(self, pane: int) -> None:
-        window = pane - pane % self.window
-        end = window + self.window
-        at = end if self.kind == "event_time" else pane + self.pane
-        if not self.waiting.containsKey((window,)):
-            self._wait(window, at)
-            return
-        known = self.waiting.getValue((window,))[0]
-        if at < known:  # an earlier pane came to light: the window reports from there on
-            self.handle.deleteTimer(known)  # windows of a key never share a time
-            self._wait(window, at)
-
-    def fire(self, window: int, at: int) -> tuple[int, int] | None:
-        """Rows and cents of the window's panes before ``at``; None if there are none."""
-        held = [self.panes.getValue((p,)) for p in range(window, at, self.pane) if self.panes.containsKey((p,))]
-        return (sum(n for n, _ in held), sum(c for _, c in held)) if held else None
-
-    def forget(self, window: int, at: int) -> None:
-        for p in range(window, at, self.pane):
-            if self.panes.containsKey((p,)):
-                self.panes.removeKey((p,))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        """All borders the watermark has passed report in turn: a new timer waits for the next batch."""
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        window = (at - 1) - (at - 1) % self.window
-        end, clock, reports = window + self.window, timerValues.getCurrentWatermarkInMs(), []
+    def _reports(self, window: int, at: int, clock: int, panes: dict) -> tuple[list[tuple], int | None]:
+        """Reports of a window from ``at`` on that the clock has passed, and its next border if it is open."""
+        end, out = window + self.window, []
         while True:
-            total = self.fire(window, at)
-            if total is not None:
-                reports.append((window, at, *total))
+            held = [panes[p] for p in range(window, at, self.pane) if p in panes]
+            if held:
+                out.append((window, at, sum(n for n, _ in held), sum(c for _, c in held)))
             if self.purge or at == end:
-                self.forget(window, at)
-            if at == end or at + self.pane > clock:
-                break
+                for p in range(window, at, self.pane):
+                    panes.pop(p, None)
+            if at == end:
+                return out, None
             at += self.pane
-        if at == end:
-            self.waiting.removeKey((window,))
-        else:
-            self._wait(window, at + self.pane)
-        if reports:
-            out = pd.DataFrame(reports, columns=["window_start", "fired_at", "n", "cents"])
-            out.insert(0, "user_id", pd.Series([K.key_of(key)] * len(out), dtype="Int64"))
-            times = {c: pd.to_datetime(out[c], unit="ms") for c in ("window_start", "fired_at")}
-            yield out.assign(**times)
+            if at > clock:
+                return out, at
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        """All borders the watermark has passed report in turn: a new timer waits for the next batch."""
+        clock = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        panes, waiting = self._held()
+        row, user, out, rest = K.row_of(self.schema), K.key_of(key), [], {}
+        for window, at in waiting.items():
+            if at <= clock:
+                reports, at = self._reports(window, at, clock, panes)
+                out += [row(user, *r) for r in reports]
+            if at is not None:
+                rest[window] = at
+        self._keep(panes, rest)
+        if rest:
+            self.handle.registerTimer(min(rest.values()))
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -134,15 +142,14 @@ class PaneTrigger(StatefulProcessor):
 def triggered(events: DataFrame, kind: str, window_ms: int, pane_ms: int, purge: bool = False) -> DataFrame:
     """Reports of the tumbling windows of each user (a stream with a watermark on ``ts``)."""
     trigger = PaneTrigger(kind, window_ms, pane_ms, purge)
-    return K.apply(summed_panes(events, pane_ms), "user_id", trigger, trigger.schema, "EventTime")
+    fired = K.apply(summed_panes(events, pane_ms), "user_id", trigger, trigger.schema, "EventTime")
+    times = [F.timestamp_millis(f"{c}_ms").alias(name) for c, name in (("window", "window_start"), ("fired", "fired_at"))]
+    return fired.select("user_id", *times, "n", "cents")
 
 
 def held_accumulators(spark, checkpoint: str) -> DataFrame:
     """(user_id, pane, n, cents) that triggers left in the state store of a finished run."""
-    state = spark.read.format("statestore").option("stateVarName", "panes").load(checkpoint)
-    return state.select(
-        F.when(~F.col("key.__no_key"), F.col("key.user_id")).alias("user_id"),
-        F.col("user_map_key.pane").alias("pane"),
-        F.col("user_map_value.n").alias("n"),
-        F.col("user_map_value.cents").alias("cents"),
-    )
+    state = spark.read.format("statestore").option("stateVarName", "open").load(checkpoint)
+    each = state.select("key", F.explode(F.arrays_zip("value.pane", "value.n", "value.cents")).alias("held"))
+    user = F.when(~F.col("key.__no_key"), F.col("key.user_id")).alias("user_id")
+    return each.select(user, F.col("held.pane").alias("pane"), F.col("held.n").alias("n"), F.col("held.cents").alias("cents"))

@@ -2,7 +2,8 @@
 
 A window function is four mergeable steps (``create``, ``add``, ``merge``, ``result``)
 over a small tuple.  ``add`` runs where rows are read, so only one tuple per window (and
-key) and input batch is shuffled, however many rows a key or a window has.
+key) and input batch is shuffled, however many rows a key or a window has.  The open
+windows of a key are one value in the state, with one timer for the first to close.
 
 All-window functions keep two levels of state.  The first holds partial windows under
 ``SALTS`` keys per window and passes them on when the watermark reaches the window's end;
@@ -14,15 +15,19 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterator
+from datetime import datetime, timedelta
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from millrace.functions.exact import units
 from millrace.streaming import processors as K
 
 SALTS = 16
+EPOCH = datetime(1970, 1, 1)
 
 
 class TopAndTotal:
@@ -33,56 +38,74 @@ class TopAndTotal:
     def create(self) -> tuple:
         return (0, 0, None, None)
 
-    def add(self, held: tuple, rows: pd.DataFrame) -> tuple:
-        top = first = None
-        valued = rows[rows["value"].notna()]
-        if len(valued):
-            best = valued[valued["value"] == valued["value"].max()]
-            top = (float(best["value"].iloc[0]), int(best["event_id"].min()))
-        early = rows.sort_values(["ts", "event_id"]).iloc[0]
-        first = (int(early["ts"].value), K._plain(early["event_id"]))
-        return self.merge(held, (len(rows), int(K.cents(rows["value"]).sum()), top, first))
+    def add(self, held: tuple, at: int, event_id: int | None, value: float | None, cents: int | None) -> tuple:
+        """With one more row, of this time in microseconds."""
+        ident = (event_id is None, event_id)
+        top = None if cents is None else (-value, *ident)
+        return self.merge(held, (1, cents or 0, top, (at, *ident)))
+
+    @staticmethod
+    def _least(a: tuple | None, b: tuple | None) -> tuple | None:
+        """The one that comes first: by value or time, then by id, a missing one last."""
+        if a is None or b is None:
+            return b if a is None else a
+        return b if b[:2] < a[:2] or b[:2] == a[:2] and not b[1] and b[2] < a[2] else a
 
     def merge(self, a: tuple, b: tuple) -> tuple:
-        tops = [x for x in (a[2], b[2]) if x is not None]
-        firsts = [x for x in (a[3], b[3]) if x is not None]
-        top = min(tops, key=lambda x: (-x[0], x[1]), default=None)
-        return (a[0] + b[0], a[1] + b[1], top, min(firsts, default=None))
+        return (a[0] + b[0], a[1] + b[1], self._least(a[2], b[2]), self._least(a[3], b[3]))
 
     def result(self, held: tuple) -> tuple:
-        return (held[0], held[1], held[2] and held[2][1], held[3] and held[3][1])
+        return (held[0], held[1], held[2] and held[2][2], held[3] and held[3][2])
 
 
 class WindowState(StatefulProcessor):
-    """One tuple per grouping key; it leaves, merged or as a result, when its window is over."""
+    """The open windows of a grouping key in one value, a tuple by its end; a tuple leaves, merged or as a result, when its window is over."""
 
-    def __init__(self, function, keys: list[str], schema: str, last: bool):
-        self.function, self.keys, self.schema, self.last = function, keys, schema, last
+    def __init__(self, function, schema: str, last: bool):
+        self.function, self.schema, self.last = function, schema, last
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", "acc BINARY")
+        self.open = handle.getValueState("open", "closes_ms ARRAY<BIGINT>, acc ARRAY<BINARY>")
+
+    def _held(self) -> dict[int, bytes]:
+        closes, accs = self.open.get() or ([], [])
+        return {c: bytes(acc) for c, acc in zip(closes, accs)}
 
     def handleInputRows(self, key, rows, timerValues):
-        new = not self.held.exists()
-        acc = self.function.create() if new else pickle.loads(self.held.get()[0])
-        for part in rows:
-            for b in part["acc"]:
-                acc = self.function.merge(acc, pickle.loads(b))
-        self.held.update((pickle.dumps(acc),))
-        if new:
-            self.handle.registerTimer(key[self.keys.index("closes_ms")])
+        held = self._held()
+        timer, changed = min(held, default=None), {}
+        for r in rows:
+            closes, acc = r[-2:]
+            if closes not in changed:
+                changed[closes] = pickle.loads(held[closes]) if closes in held else self.function.create()
+            changed[closes] = self.function.merge(changed[closes], pickle.loads(acc))
+        held.update({closes: pickle.dumps(acc) for closes, acc in changed.items()})
+        self.open.update((list(held), list(held.values())))
+        following = min(held)
+        if timer != following:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(following)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        acc = pickle.loads(self.held.get()[0])
-        self.held.clear()
-        out = {k: [v] for k, v in zip(self.keys, key)}
-        if self.last:
-            names = [c.split()[0] for c in self.function.result_schema.split(", ")]
-            yield pd.DataFrame({**out, **{n: [v] for n, v in zip(names, self.function.result(acc))}})
+        """All windows the watermark has passed leave together."""
+        clock = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        row, out, rest = K.row_of(self.schema), [], {}
+        for closes, acc in self._held().items():
+            if closes > clock:
+                rest[closes] = acc
+            elif self.last:
+                out.append(row(*key, closes, *self.function.result(pickle.loads(acc))))
+            else:
+                out.append(row(*key, closes, EPOCH + timedelta(milliseconds=closes - 1), acc))
+        if rest:
+            self.open.update((list(rest), list(rest.values())))
+            self.handle.registerTimer(min(rest))
         else:
-            yield pd.DataFrame({**out, "closes": pd.to_datetime([out["closes_ms"][0] - 1], unit="ms"), "acc": [pickle.dumps(acc)]})
+            self.open.clear()
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -94,21 +117,28 @@ def _partials(events: DataFrame, key: Column, function, window_ms: int) -> DataF
     closes = millis - F.pmod(millis, F.lit(window_ms)) + window_ms
     rows = events.select(
         F.coalesce(key, F.lit(0).cast("bigint")).alias("key"), key.isNull().alias("no_key"), closes.alias("closes_ms"),
-        "event_id", "ts", "value",
-    ).where("ts IS NOT NULL")
+        F.unix_micros("ts").alias("at"), "event_id", "value", F.when(~F.isnan("value"), units("value")).alias("cents"),
+    ).where("at IS NOT NULL")
     keys = ["key", "no_key", "closes_ms"]
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            sums = [(*k, pickle.dumps(function.add(function.create(), g))) for k, g in part.groupby(keys)]
-            yield pd.DataFrame(sums, columns=[*keys, "acc"])
+            sums = {}
+            for a, b, c, *row in zip(*(column.to_pylist() for column in part.columns)):
+                held = sums[a, b, c] if (a, b, c) in sums else function.create()
+                sums[a, b, c] = function.add(held, *row)
+            if sums:
+                columns = [pa.array(v, t) for v, t in zip(zip(*sums), (pa.int64(), pa.bool_(), pa.int64()))]
+                accs = pa.array([pickle.dumps(acc) for acc in sums.values()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*columns, accs], [*keys, "acc"])
 
-    return rows.mapInPandas(work, "key BIGINT, no_key BOOLEAN, closes_ms BIGINT, acc BINARY")
+    return rows.mapInArrow(work, "key BIGINT, no_key BOOLEAN, closes_ms BIGINT, acc BINARY")
 
 
 def _stateful(rows: DataFrame, keys: list[str], schema: str, function, last: bool, event_time: str = "") -> DataFrame:
-    return rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=WindowState(function, keys, schema, last),
+    """``rows`` end with closes_ms and acc; ``schema`` starts with the keys."""
+    return rows.groupBy(*keys).transformWithState(
+        statefulProcessor=WindowState(function, schema, last),
         outputStructType=schema,
         outputMode="append",
         timeMode="EventTime",
@@ -118,9 +148,8 @@ def _stateful(rows: DataFrame, keys: list[str], schema: str, function, last: boo
 
 def process_windows(events: DataFrame, key: str, function, window_ms: int) -> DataFrame:
     """The function's result per key and tumbling window: key, no_key, closes_ms and its columns."""
-    keys = ["key", "no_key", "closes_ms"]
     schema = f"key BIGINT, no_key BOOLEAN, closes_ms BIGINT, {function.result_schema}"
-    return _stateful(_partials(events, F.col(key), function, window_ms), keys, schema, function, True)
+    return _stateful(_partials(events, F.col(key), function, window_ms), ["key", "no_key"], schema, function, True)
 
 
 def process_all_windows(events: DataFrame, function, window_ms: int) -> DataFrame:
@@ -128,8 +157,10 @@ def process_all_windows(events: DataFrame, function, window_ms: int) -> DataFram
     salt = F.pmod(F.xxhash64("event_id"), F.lit(SALTS))
     parts = _partials(events, salt, function, window_ms).select(F.col("key").alias("salt"), "closes_ms", "acc")
     schema = "salt BIGINT, closes_ms BIGINT, closes TIMESTAMP, acc BINARY"
-    level = _stateful(parts, ["salt", "closes_ms"], schema, function, False, "closes")
-    return _stateful(level, ["closes_ms"], f"closes_ms BIGINT, {function.result_schema}", function, True)
+    level = _stateful(parts, ["salt"], schema, function, False, "closes")
+    merged = level.select(F.col("closes_ms").alias("window"), "closes", "closes_ms", "acc")
+    schema = f"window BIGINT, closes_ms BIGINT, {function.result_schema}"
+    return _stateful(merged, ["window"], schema, function, True).drop("window")
 
 
 def process_rows(stream: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

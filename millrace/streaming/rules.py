@@ -26,6 +26,10 @@ SALTS = 8
 RULE_SCHEMA = "kind STRING, ts TIMESTAMP, floor_cents BIGINT, is_end BOOLEAN"
 
 
+def _block(columns) -> bytes:
+    return np.stack([np.asarray(c, np.int64) for c in columns]).tobytes()
+
+
 class VersionedRules(StatefulProcessor):
     """Rows above the floor of their rule's version, with the floor that decided."""
 
@@ -33,7 +37,8 @@ class VersionedRules(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", "id BIGINT, at BIGINT, cents BIGINT")
+        # A batch's rows are one block: ids, missing ids, times and cents, eight bytes each.
+        self.rows = handle.getListState("rows", "block BINARY")
         self.versions = handle.getMapState("versions", "at BIGINT", "floor BIGINT")
         self.waiting = handle.getValueState("waiting", "ms BIGINT")
 
@@ -56,37 +61,35 @@ class VersionedRules(StatefulProcessor):
                 self.versions.updateValue((int(at),), (None if pd.isna(floor) else int(floor),))
             plain = part[~part["is_rule"]]
             if len(plain):
-                ids = plain["event_id"].astype("Int64")
-                held = [
-                    (None if pd.isna(i) else int(i), int(a), int(c)) for i, a, c in zip(ids, plain["at"], plain["cents"])
-                ]
-                self.rows.appendList(held)
+                ids = plain["event_id"]
+                self.rows.appendValue((_block([ids.fillna(0), ids.isna(), plain["at"], plain["cents"]]),))
                 self._wait(int(plain["at"].min()))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         self.waiting.clear()
-        held = list(self.rows.get()) if self.rows.exists() else []
-        ready = [r for r in held if r[1] < passed]
-        rest = [tuple(r) for r in held if r[1] >= passed]
-        if rest:
-            self.rows.put(rest)
-            self._wait(min(r[1] for r in rest))
+        blocks = [np.frombuffer(bytes(b), np.int64).reshape(4, -1) for (b,) in self.rows.get()]
+        held = np.concatenate(blocks, axis=1) if blocks else np.zeros((4, 0), np.int64)
+        ready, rest = held[:, held[2] < passed], held[:, held[2] >= passed]
+        if rest.shape[1]:
+            self.rows.put([(_block(rest),)])
+            self._wait(int(rest[2].min()))
         else:
             self.rows.clear()
         versions = sorted((k[0], v[0]) for k, v in self.versions.iterator())
         begins = np.array([at for at, _ in versions], np.int64)
         for at in begins[: max(int(np.searchsorted(begins, passed)) - 1, 0)]:
             self.versions.removeKey((int(at),))
-        place = np.searchsorted(begins, np.array([r[1] for r in ready], np.int64), side="right") - 1
-        out = []
-        for (ident, _, cents), p in zip(ready, place):
-            floor = versions[p][1] if p >= 0 else None
-            if floor is not None and cents > floor:
-                out.append((ident, key[0], floor, cents - floor))
-        if out:
-            yield pd.DataFrame(out, columns=["event_id", "event_type", "floor_cents", "above"]).astype({"event_id": "Int64"})
+        # Before the first version, and where a version takes the rule back, there is no floor.
+        floors = pd.array([floor for _, floor in versions] + [None], "Int64")
+        floor = floors[np.searchsorted(begins, ready[2], side="right") - 1]
+        ids, missing, _, cents = ready
+        out = pd.DataFrame({"event_id": pd.arrays.IntegerArray(ids.copy(), missing.astype(bool)), "event_type": key[0], "floor_cents": floor})
+        out["above"] = cents - out["floor_cents"]
+        out = out[(out["above"] > 0).fillna(False).astype(bool)]
+        if len(out):
+            yield out
 
     def close(self) -> None:
         pass

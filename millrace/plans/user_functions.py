@@ -84,9 +84,12 @@ class _NameWords:
          UNION ALL SELECT split_part(p_name, ' ', 2), 1 FROM part) GROUP BY word, pos""",
 )
 def table_function(t):
-    words = F.udtf(_NameWords, returnType="word STRING, pos INT", useArrow=True)
+    # A call per row: without Arrow its rows do not go out as a batch each.  Only the names
+    # move, and over all cores, because a small file is one or two tasks.
+    words = F.udtf(_NameWords, returnType="word STRING, pos INT", useArrow=False)
+    names = t.part.select("p_name").repartition(t.spark.sparkContext.defaultParallelism)
     return (
-        t.part.lateralJoin(words(F.col("p_name").outer()))
+        names.lateralJoin(words(F.col("p_name").outer()))
         .groupBy("word", "pos")
         .agg(F.count("*").alias("n"))
     )

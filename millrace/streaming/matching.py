@@ -25,6 +25,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from millrace.streaming import processors as K
 
 NO_NODE = -1
+# The waiting rows, partial matches and nodes of a key, a column of each an array.
+QUEUE, PARTIAL, NODES = ("seen", "at", "tie", "id", "flags"), ("stage", "node", "start", "begun"), ("name", "event", "before")
+HELD = ", ".join(f"{c} ARRAY<BIGINT>" for c in (*QUEUE, *PARTIAL, *NODES)) + ", wake BIGINT"
+
+
+def _columns(rows: list[tuple], names: tuple) -> list[list]:
+    return [list(c) for c in zip(*rows)] if rows else [[] for _ in names]
 
 
 class FollowedBy(StatefulProcessor):
@@ -36,39 +43,42 @@ class FollowedBy(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.queue = handle.getListState("queue", "seen BIGINT, at BIGINT, tie BIGINT, id BIGINT, flags BIGINT")
-        self.partial = handle.getListState("partial", "stage INT, node BIGINT, start BIGINT, at BIGINT")
-        self.nodes = handle.getListState("nodes", "node BIGINT, event BIGINT, before BIGINT")
-        self.wake = handle.getValueState("wake", "at BIGINT")
-
-    def _wake_at(self, micros: int, known: tuple | None) -> None:
-        at = micros // 1000 + 1
-        if known is not None:
-            if known[0] <= at:
-                return
-            self.handle.deleteTimer(known[0])
-        self.handle.registerTimer(at)
-        self.wake.update((at,))
+        self.held = handle.getValueState("held", HELD)
+
+    def _held(self) -> tuple[list, list, list, int | None]:
+        """Rows, partial matches and nodes of the key, and its timer."""
+        held = self.held.get()
+        if held is None:
+            return [], [], [], None
+        q, p = len(QUEUE), len(QUEUE) + len(PARTIAL)
+        return list(zip(*held[:q])), list(zip(*held[q:p])), list(zip(*held[p:-1])), held[-1]
+
+    def _hold(self, queue: list, partial: list, nodes: list, wake: int) -> None:
+        self.held.update((*_columns(queue, QUEUE), *_columns(partial, PARTIAL), *_columns(nodes, NODES), wake))
 
     def handleInputRows(self, key, rows, timerValues):
         width = len(self.reads)
         taken = [row for row in (r[-width:] for r in rows) if row[0] is not None and row[4] > 0]
         if taken:
-            self.queue.appendList(taken)
-            self._wake_at(min(row[0] for row in taken), self.wake.get())
+            queue, partial, nodes, wake = self._held()
+            at = min(row[0] for row in taken) // 1000 + 1
+            if wake is None or at < wake:
+                if wake is not None:
+                    self.handle.deleteTimer(wake)
+                self.handle.registerTimer(at)
+                wake = at
+            self._hold(queue + taken, partial, nodes, wake)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         clock = timerValues.getCurrentWatermarkInMs() * 1000
-        queue = [tuple(r) for r in self.queue.get()]
+        queue, partial, known, _ = self._held()
         # A row is in its place once nothing of its pattern time can still come.
         edge = min((r[1] for r in queue if r[0] > clock), default=clock + 1)
         edge = min(edge, clock + 1 - self.rough)
         ready = sorted((r for r in queue if r[1] < edge), key=lambda r: tuple((x is None, x or 0) for x in r[1:4]))
         later = [r for r in queue if r[1] >= edge]
-        partial = [tuple(r) for r in self.partial.get()]
-        nodes = {node: (event, before) for node, event, before in self.nodes.get()}
-        known, waited = set(nodes), bool(partial)
+        nodes = {node: (event, before) for node, event, before in known}
         partial, out = self._advance(ready, partial, nodes)
         alive = []
         for p in partial:
@@ -76,14 +86,13 @@ class FollowedBy(StatefulProcessor):
                 out.append((p[2], *[None] * (self.stages - 1), False))
             else:
                 alive.append(p)
-        self._keep(alive, waited, nodes, known)
-        if len(later) < len(queue):
-            K.put_all(self.queue, later)
         waits = [r[1] + self.rough for r in later] + [p[3] + self.within + self.rough for p in alive]
         if waits:
-            self._wake_at(min(waits), None)
+            wake = min(waits) // 1000 + 1
+            self.handle.registerTimer(wake)
+            self._hold(later, alive, self._used(alive, nodes), wake)
         else:
-            self.wake.clear()
+            self.held.clear()
         row, user = K.row_of(self.schema), K.key_of(key)
         return iter([row(user, *found) for found in out])
 
@@ -120,17 +129,16 @@ class FollowedBy(StatefulProcessor):
             path.append(event)
         return path[::-1]
 
-    def _keep(self, alive: list, waited: bool, nodes: dict, known: set) -> None:
+    @staticmethod
+    def _used(alive: list, nodes: dict) -> list[tuple]:
+        """The nodes that a partial match leads to."""
         used = set()
         for p in alive:
             node = p[1]
             while node != NO_NODE and node not in used:
                 used.add(node)
                 node = nodes[node][1]
-        if used != known:
-            K.put_all(self.nodes, [(node, *nodes[node]) for node in used])
-        if alive or waited:
-            K.put_all(self.partial, alive)
+        return [(node, *nodes[node]) for node in used]
 
     def close(self) -> None:
         pass

@@ -15,6 +15,7 @@ from millrace.tables import Tables
 
 CAPACITY = 4096
 END_ID = 1
+CACHE_PIECES = 1 << 17  # in a worker of the last stage: executors still hold what the others needed
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +40,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequence and place."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID, CAPACITY)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID, CAPACITY, cache_pieces=CACHE_PIECES)
 
 
 STAGES = [

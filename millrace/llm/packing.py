@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from millrace.llm.common import keep_table, shuffle_width, whole_text
-from millrace.llm.tokens import id_table
+from millrace.llm.tokens import CACHE_PIECES, id_table
 
 RANK_BITS = 48  # of the (length, rank) key
+TEXTS = 256  # of a batch, held as Python strings at once
 
 
 @dataclass(frozen=True)
@@ -147,17 +148,22 @@ def document_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    cache_pieces: int = CACHE_PIECES,
 ) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32 (and ``ids``, packed, if wanted)."""
+    """Per piece: doc_id, piece, start, length, ids_crc32 (and ``ids``, packed, if wanted).
+
+    A worker holds the ids of at most ``cache_pieces`` pieces of text.
+    """
     texts = docs.select(docs[id_col].cast("bigint").alias("doc_id"), whole_text(docs, text_col).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = id_table(tokenizer_path)
+        table = id_table(tokenizer_path, cache_pieces)
         kind = table.lib.dtype
         end = np.array([end_id], kind).tobytes()
         for b in batches:
             row, piece, start, length, crc, kept = [], [], [], [], [], []
-            for i, text in enumerate(b.column("text").to_pylist()):
+            texts = b.column("text")
+            for i, text in enumerate(t for at in range(0, len(texts), TEXTS) for t in texts.slice(at, TEXTS).to_pylist()):
                 ids = np.frombuffer(table.encode(text) + end, kind)
                 for k, s in enumerate(range(0, len(ids), capacity)):
                     part = ids[s : s + capacity]
@@ -186,10 +192,18 @@ PIECE_KEY = ["doc_id", "piece", "ids_crc32"]
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    tokenizer_path: str,
+    end_id: int,
+    capacity: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    cache_pieces: int = CACHE_PIECES,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = keep_table(document_pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col), "pieces")
+    pieces = keep_table(
+        document_pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col, cache_pieces=cache_pieces), "pieces"
+    )
     return best_fit_pack(pieces, PIECE_KEY, capacity)
 
 

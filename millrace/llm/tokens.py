@@ -3,7 +3,8 @@
 The library splits a text into pre-tokens and encodes each alone.  Pieces that are
 cut where the tokenizer always cuts can therefore be encoded once and looked up
 afterwards.  The library encodes every piece that is new to a worker; the cache
-is emptied when it is full, so its memory is bounded.
+of counts is emptied when it is full and that of ids drops what it has not met for
+long, so their memory is bounded.
 """
 
 from __future__ import annotations
@@ -128,23 +129,28 @@ class IdTable(dict):
     """Packed ids of white-space separated pieces, for tokenizers that drop white space.
 
     A piece is looked up in lower case where the tokenizer lower-cases itself, and
-    marks after a plain word are looked up on their own.
+    marks after a plain word are looked up on their own.  When the table is full it
+    becomes the older generation, from which pieces come back as they are met again:
+    frequent pieces are not encoded anew, and what is met once is soon let go.
     """
 
-    def __init__(self, lib: Library):
+    def __init__(self, lib: Library, pieces: int = CACHE_PIECES):
         super().__init__()
-        self.lib = lib
+        self.lib, self.older, self.most = lib, {}, pieces // 2
         self.lower = lib.piece_ids("Word") == lib.piece_ids("word")
         self.specials = [x.encode() for x in lib.specials]
         self.code = "H" if lib.dtype.itemsize == 2 else "I"
 
     def __missing__(self, piece: bytes) -> bytes:
-        body = piece.rstrip(MARKS)
-        if body != piece and body.isalpha() and self.lib.plain:
-            return self[body] + self[piece[len(body) :]]
-        ids = array(self.code, self.lib.piece_ids(piece.decode("utf-8", "replace"))).tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            body = piece.rstrip(MARKS)
+            if body != piece and body.isalpha() and self.lib.plain:
+                return self[body] + self[piece[len(body) :]]
+            ids = array(self.code, self.lib.piece_ids(piece.decode("utf-8", "replace"))).tobytes()
         if len(piece) <= CACHE_PIECE_BYTES:
-            if len(self) >= CACHE_PIECES:
+            if len(self) >= self.most:
+                self.older = self.copy()
                 self.clear()
             self[piece] = ids
         return ids
@@ -160,5 +166,5 @@ class IdTable(dict):
 
 
 @lru_cache(maxsize=2)
-def id_table(path: str) -> IdTable:
-    return IdTable(library(path))
+def id_table(path: str, pieces: int = CACHE_PIECES) -> IdTable:
+    return IdTable(library(path), pieces)

@@ -144,3 +144,13 @@ def test_packing(docs):
     texts = packed_sequences(docs, WORD, 1, capacity).collect()
     assert sum(r.n_tokens for r in texts) == sum(n for *_, n, _ in want)
     assert all(len(r.ids) == 4 * r.n_tokens for r in texts)
+
+
+def test_small_cache_gives_the_same_ids():
+    """A full table turns into the older generation; the two never hold more than the bound."""
+    texts = [" ".join(f"Word{(i * k) % 97}, thing{i}" for i in range(40)) for k in range(30)]
+    small, large = IdTable(library(WORD), 64), IdTable(library(WORD))
+    for t in texts:
+        assert small.encode(t) == large.encode(t) and len(small) + len(small.older) <= 64
+        assert np.frombuffer(small.encode(t), library(WORD).dtype).tolist() == WORD_LIBRARY.encode(t, add_special_tokens=False).ids
+    assert small.older

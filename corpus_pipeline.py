@@ -29,7 +29,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 0.8 or more of their five-word shingles, the one with the smallest doc_id."""
+    """Of documents linked by SimHash fingerprints or shared bands, and in fact by 0.8 or more of their
+    five-word shingles, the one with the smallest doc_id."""
     return drop_similar(docs)
 
 
@@ -46,7 +47,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", quality),
     ("exact dedup", exact),
-    ("shingle near-dedup", near),
+    ("simhash near-dedup", near),
     ("benchmark decontamination", decontaminated),
     ("best-fit packing", packed),
 ]

@@ -1,8 +1,10 @@
-"""Near-dedup by the five-word shingles that texts share.
+"""Near-dedup by SimHash fingerprints and by the five-word shingles that texts share.
 
 Two texts are near copies when their sets of five-word shingles have a Jaccard
-similarity of at least 0.8; components of such pairs are one group.  Candidates
-come from MinHash bands: at a similarity of 0.8 a pair shares none of 32 bands of
+similarity of at least 0.8; components of such pairs are one group.  The first
+candidates are the links of operator 2 (fingerprints of three-word shingles in its
+Gray-ordered index, three bits), checked on whole shingle sets.  Near copies of 0.8
+differ in more bits than masks can find, so more candidates come from MinHash bands: at a similarity of 0.8 a pair shares none of 32 bands of
 five values with a chance of 3e-6, above it with less.  Band values name buckets,
 and each bucket is settled by itself, on whole shingle sets: first every member
 against the bucket's least one, then, where the members still lie in several
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import if_small, keep_table, whole_text
-from millrace.llm.simhash_dedup import star_roots
+from millrace.llm.simhash_dedup import fingerprint, index_links, star_roots
 
 SEED = 42
 SHINGLE = 5
@@ -83,8 +85,9 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             pa.array([node_id(s) for s in sets], pa.binary()),
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
+            pa.array(np.array([fingerprint(t) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "node", "n", "bands"])
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "node", "n", "bands", "fp"])
 
 
 def text_digest(docs: DataFrame, text_col: str = "text") -> Column:
@@ -93,19 +96,40 @@ def text_digest(docs: DataFrame, text_col: str = "text") -> Column:
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, sha of the text, node (its shingle set), n shingles, bands."""
+    """Per row: doc_id, sha of the text, node (its shingle set), n shingles, bands, fp (operator 2's fingerprint)."""
     rows = docs.select(
         docs[id_col].cast("bigint").alias("doc_id"),
         text_digest(docs, text_col).alias("sha"),
         whole_text(docs, text_col).alias("text"),
     )
-    return rows.mapInArrow(_sketch_batches, "doc_id BIGINT, sha BINARY, node BINARY, n BIGINT, bands ARRAY<BIGINT>")
+    schema = "doc_id BIGINT, sha BINARY, node BINARY, n BIGINT, bands ARRAY<BIGINT>, fp BIGINT"
+    return rows.mapInArrow(_sketch_batches, schema)
 
 
 def index_entries(rows: DataFrame) -> DataFrame:
-    """(node, n, bands, sha): one entry per shingle set that is not empty, with one text that has it."""
+    """(node, n, bands, sha, fp): one entry per shingle set that is not empty, with one text that has it."""
     held = rows.where("n > 0").groupBy("node")
-    return held.agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("sha").alias("sha"))
+    text = F.min(F.struct("sha", "fp"))
+    entries = held.agg(F.first("n").alias("n"), F.first("bands").alias("bands"), text.alias("text"))
+    return entries.select("node", "n", "bands", "text.sha", "text.fp")
+
+
+def fingerprint_pairs(entries: DataFrame) -> DataFrame:
+    """(u, v), u > v: sets whose fingerprints operator 2 links, where their sizes allow 0.8.
+
+    Each set meets the least set of its own fingerprint and of the smaller ones its
+    fingerprint has links to, which are few for each: their number grows with the sets.
+    """
+    least = entries.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("least"))
+    least = keep_table(least.select("fp", F.col("least.node").alias("first"), F.col("least.n").alias("first_n")), "near-fingerprints")
+    links = keep_table(index_links(least.select("fp")), "near-fingerprint-links")
+    # From the larger fingerprint only: the smallest of a large group is met by all others.
+    smaller = links.select(F.col("u").alias("fp"), F.col("v").alias("to")).join(least.withColumnRenamed("fp", "to"), "to")
+    met = smaller.select("fp", "first", "first_n").unionByName(least)
+    held = entries.select("node", "n", "fp").join(met, "fp")
+    fits = NEAR_OF * F.least("n", "first_n") >= NEAR * F.greatest("n", "first_n")
+    pairs = held.where((F.col("node") != F.col("first")) & fits)
+    return pairs.select(F.greatest("node", "first").alias("u"), F.least("node", "first").alias("v")).distinct()
 
 
 def bucket_members(entries: DataFrame) -> DataFrame:
@@ -236,9 +260,11 @@ def similar_roots(docs: DataFrame, rows: DataFrame, text_col: str = "text", run_
     """(u, v): nodes that are not the least of their group, and the least; ``rows`` are the sketches of ``docs``."""
     entries = keep_table(index_entries(rows), "near-entries")
     members = keep_table(bucket_members(entries), "near-members")
-    wanted = entries.select("node", "sha").join(members.select("node").distinct(), "node", "left_semi")
+    linked = keep_table(fingerprint_pairs(entries), "near-linked")
+    ends = linked.select(F.explode(F.array("u", "v")).alias("node")).unionByName(members.select("node"))
+    wanted = entries.select("node", "sha").join(ends.distinct(), "node", "left_semi")
     sets = keep_table(whole_sets(docs, keep_table(wanted, "near-wanted"), text_col), "near-sets")
-    pairs = keep_table(candidate_pairs(members), "near-pairs")
+    pairs = keep_table(linked.unionByName(candidate_pairs(members)).distinct(), "near-pairs")
     roots = star_roots(confirmed(pairs, sets))
     late = keep_table(bucket_links(unsettled(members, roots), sets, run_shingles), "near-late")
     return star_roots(roots.unionByName(late))

@@ -97,3 +97,17 @@ def test_chain_is_one_group(spark):
     assert len(set(groups(texts))) == 1
     for run_shingles in (500, S.RUN_SHINGLES):
         assert [r.doc_id for r in S.drop_similar(docs, run_shingles=run_shingles).collect()] == [0]
+
+
+def test_fingerprint_links_are_candidates_and_are_checked(spark, monkeypatch):
+    """Without bands, operator 2's links alone find close copies; equal fingerprints of other sets join nothing."""
+    members = S.bucket_members
+    monkeypatch.setattr(S, "bucket_members", lambda entries: members(entries).where("false"))
+    long = brute.prose(1500)
+    repeated = "one two three four five six " * 300
+    texts = [long, f"{long} tail", f"{long} other end", f"{repeated}{brute.prose(20)}", f"{repeated}{brute.prose(20)}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    entries = S.index_entries(S.sketches(docs))
+    assert entries.count() == 5 and S.fingerprint_pairs(entries).count() >= 2
+    assert sorted(r.doc_id for r in S.drop_similar(docs).collect()) == [0, 3, 4]
+    assert S.fingerprint_pairs(entries.where("false")).count() == 0

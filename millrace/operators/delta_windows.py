@@ -33,6 +33,15 @@ def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(old).alias(new) for old, new in names.items()])
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a join side that is never broadcast.
+
+    The tables here have a row for most input rows, yet are so small as files that
+    Spark's size test would send millions of rows to the driver and into each task.
+    """
+    return df.hint("merge")
+
+
 def _next_cuts(moved: DataFrame, keys: Sequence[str], delta: int) -> DataFrame:
     """(keys, __pos, __next): the first position beyond each row's distance plus ``delta``; others are left out."""
     both = moved.select(
@@ -59,7 +68,7 @@ def _reached(heads: DataFrame, jumps: DataFrame, keys: Sequence[str]) -> DataFra
     while True:
         step = _renamed(jump, target)
         landed = written(
-            reached.join(step, _same(reached, step, [*on, ("__pos", "__at")])).select(*keys, F.col("__to").alias("__pos")),
+            reached.join(_shuffled(step), _same(reached, step, [*on, ("__pos", "__at")])).select(*keys, F.col("__to").alias("__pos")),
             "cuts",
         )
         if landed.isEmpty():
@@ -68,7 +77,7 @@ def _reached(heads: DataFrame, jumps: DataFrame, keys: Sequence[str]) -> DataFra
         found = landed if found is None else found.unionByName(landed)
         reached = reached.unionByName(landed)
         jump = written(
-            jump.join(step, _same(jump, step, [*on, ("__next", "__at")])).select(*keys, "__pos", F.col("__to").alias("__next")),
+            jump.join(_shuffled(step), _same(jump, step, [*on, ("__next", "__at")])).select(*keys, "__pos", F.col("__to").alias("__next")),
             "jumps",
         )
 
@@ -94,7 +103,7 @@ def delta_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], step
     cuts = _reached(moved.where("__pos = 1"), _next_cuts(moved, keys, delta), keys)
     marks = _renamed(cuts, {**{k: f"__k_{k}" for k in keys}, "__pos": "__cut"})
     marked = written(
-        placed.join(marks, _same(placed, marks, [*[(k, f"__k_{k}") for k in keys], ("__pos", "__cut")]), "left")
+        placed.join(_shuffled(marks), _same(placed, marks, [*[(k, f"__k_{k}") for k in keys], ("__pos", "__cut")]), "left")
         .withColumn("closes", F.col("__cut").isNotNull())
         .select(*placed.columns, "closes"),
         "marked",

@@ -43,9 +43,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     ``min`` aggregates with map-side combine: a hub vertex costs one row per
     map task.
     """
-    both = cut_lineage(
-        edges.select("src", "dst").union(edges.select("dst", "src")).distinct()
-    )
+    ways = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    both = cut_lineage(edges.select(F.explode(ways).alias("e")).select("e.src", "e.dst").distinct())
     start = both.groupBy(F.col("src").alias("vertex")).agg(
         F.least(F.min("dst"), F.col("vertex")).alias("component")
     )

@@ -29,6 +29,8 @@ from millrace.sizing import ONE_TASK_BYTES, estimated_bytes, fits_one_task, limi
 
 _CHUNK = "__chunk"
 _MIN_CHUNKS = 8
+# Without keys a chunk is all of one task, and a stored byte unfolds to a hundred in a sort.
+_KEYLESS_SHARE = 32
 _UNKNOWN_BYTES, _UNKNOWN_CHUNKS = 1 << 60, 16384  # Catalyst knows no size: many small chunks
 
 
@@ -106,7 +108,7 @@ def _add_position(df: DataFrame, bounds: Sequence, axis: Column, axis_type: str,
     return found.drop("__axis")
 
 
-def _add_chunks(df: DataFrame, leading: By) -> DataFrame:
+def _add_chunks(df: DataFrame, leading: By, share: int = 1) -> DataFrame:
     """Add the equi-depth chunk number of the leading order column, ascending in it.
 
     The bounds are approximate percentiles from one aggregate job over that one
@@ -115,7 +117,7 @@ def _add_chunks(df: DataFrame, leading: By) -> DataFrame:
     axis = _as_number(df, leading.name)
     if axis is None:
         return df
-    per_task = max(1, limit_bytes(df.sparkSession, ONE_TASK_BYTES))
+    per_task = max(1, limit_bytes(df.sparkSession, ONE_TASK_BYTES) // share)
     wanted = math.ceil(estimated_bytes(df) / per_task)
     known = estimated_bytes(df) < _UNKNOWN_BYTES
     n = max(wanted if known else _UNKNOWN_CHUNKS, _MIN_CHUNKS)
@@ -190,16 +192,17 @@ def _combined(spec: Running, local: Column, carry: Column, first_in_chunk: Colum
     return local + F.coalesce(carry, F.lit(0))
 
 
-def with_chunks(df: DataFrame, order: Sequence[By | str]) -> DataFrame:
+def with_chunks(df: DataFrame, order: Sequence[By | str], keyed: bool = True) -> DataFrame:
     """Add the chunk number of the order axis, unless the input fits one task.
 
     An operator of several ordered steps calls this once and every ``running``
-    after it works on the same chunks.
+    after it works on the same chunks.  Work without keys has smaller chunks: keyed
+    rows of a chunk still spread over tasks, those without a key do not.
     """
-    order = _orders(order)
-    if _CHUNK in df.columns or fits_one_task(df) or _sort_key(df, order) is None:
+    order, share = _orders(order), 1 if keyed else _KEYLESS_SHARE
+    if _CHUNK in df.columns or fits_one_task(df, share) or _sort_key(df, order) is None:
         return df
-    return _add_chunks(df, order[0])
+    return _add_chunks(df, order[0], share)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -229,7 +232,7 @@ def running(
     value stay in one chunk, which is what makes ranks of ties come out right.
     """
     order = _orders(order)
-    rows = with_chunks(df, order)
+    rows = with_chunks(df, order, keyed=bool(keys))
     if _CHUNK not in rows.columns:
         return df.withColumns({s.out: _plain(s.kind, s.value, keys, order) for s in specs})
     sort_key = _sort_key(df, order)

@@ -27,9 +27,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
-def fits_one_task(df: DataFrame) -> bool:
-    """True when the whole input, hence any key of it, suits a single task."""
-    return estimated_bytes(df) <= limit_bytes(df.sparkSession, ONE_TASK_BYTES)
+def fits_one_task(df: DataFrame, share: int = 1) -> bool:
+    """True when the whole input, hence any key of it, suits a single task.
+
+    ``share`` lowers the bound to that part of it, for work that does go to one task.
+    """
+    return estimated_bytes(df) <= limit_bytes(df.sparkSession, ONE_TASK_BYTES) // share
 
 
 def small_side(df: DataFrame) -> DataFrame:

@@ -86,3 +86,17 @@ def test_count_window_that_never_fills(spark):
         O.fired_windows(O.count_windows(rows, ["w"], ["i"], 2), ["w"], [F.sum("n").alias("s")], 2).collect()
     )
     assert sorted((r.w, r.window_no, r.s) for r in got) == [("hello", 0, 6), ("hello", 1, 12), ("hi", 0, 4)]
+
+
+def test_rows_without_a_key_are_spread(spark):
+    """Small as stored, too many for the one task that a window without keys has."""
+    n, conf = 400_000, "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        rows = O.running(spark.range(n).toDF("t"), [], ["t"], [O.Running("before", "lag", F.col("t"))])
+        parts = rows.groupBy(F.spark_partition_id().alias("part")).count().collect()
+        assert rows.where("before = t - 1").count() == n - 1
+    finally:
+        spark.conf.set(conf, before)
+    assert sum(p["count"] for p in parts) == n and max(p["count"] for p in parts) < n
